@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from inkmill.llm.packing import pack
 from inkmill.llm.simhash import simhash_groups
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
+TOKENIZER = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
 def _query(f):
@@ -25,3 +28,9 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and group of every document at two bits."""
     groups = simhash_groups(_table(spark, sf_dir, "documents"), "doc_id", "text", width=3, max_distance=2)
     return groups.select(F.col("id").alias("doc_id"), "fingerprint", "component_id")
+
+
+@_query
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces in windows of 1024 ids."""
+    return pack(_table(spark, sf_dir, "documents"), "doc_id", "text", *TOKENIZER, window=1024, end_id=0).withColumnRenamed("id", "doc_id")
