@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from inkmill.llm.mixing import mix_words
 from inkmill.llm.packing import pack
 from inkmill.llm.simhash import simhash_groups
 
@@ -34,3 +35,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces in windows of 1024 ids."""
     return pack(_table(spark, sf_dir, "documents"), "doc_id", "text", *TOKENIZER, window=1024, end_id=0).withColumnRenamed("id", "doc_id")
+
+
+@_query
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix of weights 5, 2, 1 takes of every document."""
+    mixed = mix_words(_table(spark, sf_dir, "documents"), "doc_id", "text", "source", weights=(5, 2, 1), limit=3)
+    return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies")
