@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkmill.llm.mixing import mix_words
 from inkmill.llm.packing import pack
 from inkmill.llm.simhash import simhash_groups
+from inkmill.llm.toxicity import fit, score
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -42,3 +43,16 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix of weights 5, 2, 1 takes of every document."""
     mixed = mix_words(_table(spark, sf_dir, "documents"), "doc_id", "text", "source", weights=(5, 2, 1), limit=3)
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies")
+
+
+def held_out(doc_id) -> Column:
+    """The fifth of the ids that no label is learnt from."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
+
+
+@_query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from four fifths of the labels."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    scored = score(docs, fit(docs, labels.where(~held_out("doc_id"))))
+    return scored.select(F.col("id").alias("doc_id"), held_out("id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
