@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from inkmill.llm.kneser_ney import classify
 from inkmill.llm.mixing import mix_words
 from inkmill.llm.packing import pack
 from inkmill.llm.simhash import simhash_groups
@@ -56,3 +57,15 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     scored = score(docs, fit(docs, labels.where(~held_out("doc_id"))))
     return scored.select(F.col("id").alias("doc_id"), held_out("id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Ids that are labelled as good text."""
+    return labels.where("quality = 1").select(F.col("doc_id").alias("id"))
+
+
+@_query
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity and verdict of every document under a model of the text that is labelled good."""
+    judged = classify(_table(spark, sf_dir, "documents"), trusted_ids(_table(spark, sf_dir, "labels")))
+    return judged.withColumnRenamed("id", "doc_id")
