@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -128,3 +129,19 @@ def score(docs: DataFrame, model: tuple[float, np.ndarray, np.ndarray], id_col:
                 yield pa.RecordBatch.from_arrays([rows.column(0).cast(pa.int64()), pa.array(1 / (1 + np.exp(-np.clip(raw, -35, 35))))], ["id", "score"])
 
     return same_or_null(docs, id_col, text_col).mapInArrow(run, "id long, score double")
+
+
+def score_column(model: tuple[float, np.ndarray, np.ndarray], settings: Settings = Settings()):
+    """The same score as a function of a text column, for plans that keep the rest of the row in the JVM."""
+    bias, idx, w = model
+    idx, w = idx.astype(np.int32), w.astype(np.float32)
+
+    @F.pandas_udf("double")
+    def scores(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        weights = np.zeros(1 << settings.bits, np.float32)
+        weights[idx] = w
+        for part in parts:
+            raw = np.array([bias + float(weights[features(t, settings)].sum(dtype=np.float64)) for t in part])
+            yield pd.Series(1 / (1 + np.exp(-np.clip(raw, -35, 35))), dtype="float64")
+
+    return scores
