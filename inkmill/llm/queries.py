@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkmill.llm.kneser_ney import classify
+from inkmill.llm.minhash import OnePermutation, compare_with_next
 from inkmill.llm.mixing import mix_words
 from inkmill.llm.packing import pack
 from inkmill.llm.simhash import simhash_groups
@@ -69,3 +70,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Perplexity and verdict of every document under a model of the text that is labelled good."""
     judged = classify(_table(spark, sf_dir, "documents"), trusted_ids(_table(spark, sf_dir, "labels")))
     return judged.withColumnRenamed("id", "doc_id")
+
+
+@_query
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, 512 bins of four bits over five-word shingles."""
+    return compare_with_next(_table(spark, sf_dir, "documents"), "doc_id", "text", OnePermutation(bin_bits=9, low_bits=4, width=5)).withColumnRenamed("id", "doc_id")
