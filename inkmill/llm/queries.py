@@ -10,6 +10,7 @@ from inkmill.llm.chat import format_chats
 from inkmill.llm.kneser_ney import classify
 from inkmill.llm.minhash import OnePermutation, compare_with_next
 from inkmill.llm.mixing import mix_words
+from inkmill.llm.nndescent import near_embeddings
 from inkmill.llm.packing import pack
 from inkmill.llm.simhash import simhash_groups
 from inkmill.llm.toxicity import fit, score
@@ -137,3 +138,9 @@ ORACLE_SQL["op9_chats"] = """
     select min(conv_id) as conv_id, cast(0 as int) as segment, n as turns, rendered from ends
     where not exists (select 1 from prefixes p where p.k < p.n and p.k = ends.n and p.rendered = ends.rendered)
     group by n, rendered"""
+
+
+@_query
+def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of every vector at cosine 0.9."""
+    return near_embeddings(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", threshold=0.9).withColumnRenamed("id", "vec_id")
