@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from inkmill.llm.chat import format_chats
 from inkmill.llm.kneser_ney import classify
+from inkmill.llm.licences import find_licences
 from inkmill.llm.minhash import OnePermutation, compare_with_next
 from inkmill.llm.mixing import mix_words
 from inkmill.llm.nndescent import near_embeddings
@@ -144,3 +145,11 @@ ORACLE_SQL["op9_chats"] = """
 def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of every vector at cosine 0.9."""
     return near_embeddings(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", threshold=0.9).withColumnRenamed("id", "vec_id")
+
+
+@_query
+def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence families that every document states."""
+    found = find_licences(_table(spark, sf_dir, "documents"))
+    families = F.array_sort(F.array_distinct(F.transform("found", lambda x: x["family"])))
+    return found.select(F.col("id").alias("doc_id"), F.array_join(families, ",").alias("families"), F.size("found").alias("statements"))
