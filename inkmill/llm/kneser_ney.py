@@ -23,39 +23,42 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkmill.llm.work import discard, materialise, same_or_null
+from inkmill.llm.work import broadcast_if_small, discard, materialise, same_or_null
 
 PAD = 2  # U+0002 stands before a text's first character
 _NUL = 0xFFFD  # takes the place of U+0000 in n-grams
 
-_BLOCK = "block long, ids array<long>, langs array<string>, sizes array<int>, texts binary"
+_BLOCK = "block long, lang string, ids array<long>, sizes array<int>, texts binary"
 
 
 def blocks(docs: DataFrame, id_col: str, text_col: str, lang_col: str, block_chars: int, buckets: int) -> DataFrame:
-    """The texts in compressed blocks of about ``block_chars`` characters, as a table bucketed by block."""
+    """The texts in compressed blocks of one language and about ``block_chars`` characters, as a table bucketed by block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        number, held, chars = TaskContext.get().partitionId() << 24, [], 0
+        number, held, chars = TaskContext.get().partitionId() << 24, {}, {}
 
-        def block() -> pa.RecordBatch:
-            ids, texts, langs = zip(*held, strict=True)
+        def block(lang: str) -> pa.RecordBatch:
+            nonlocal number
+            ids, texts = zip(*held.pop(lang), strict=True)
             blob = zstandard.compress("".join(texts).encode("utf-8", "surrogatepass"), 3)
-            columns = [pa.array([number], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([langs], pa.list_(pa.string())), pa.array([list(map(len, texts))], pa.list_(pa.int32())), pa.array([blob], pa.binary())]
-            return pa.RecordBatch.from_arrays(columns, ["block", "ids", "langs", "sizes", "texts"])
+            number += 1
+            columns = [pa.array([number - 1], pa.int64()), pa.array([lang]), pa.array([ids], pa.list_(pa.int64())), pa.array([list(map(len, texts))], pa.list_(pa.int32())), pa.array([blob], pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, ["block", "lang", "ids", "sizes", "texts"])
 
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 rows = batch.slice(at, 256)
                 for i, t, lang in zip(*(c.to_pylist() for c in rows.columns), strict=True):
-                    held.append((i, t or "", lang or ""))
-                    chars += len(t or "")
-                    if chars >= block_chars:
-                        yield block()
-                        number, held, chars = number + 1, [], 0
-        if held:
-            yield block()
+                    lang = lang or ""
+                    held.setdefault(lang, []).append((i, t or ""))
+                    chars[lang] = chars.get(lang, 0) + len(t or "")
+                    if chars[lang] >= block_chars:
+                        yield block(lang)
+                        chars[lang] = 0
+        for lang in sorted(held):
+            yield block(lang)
 
     name = f"inkmill_blocks_{uuid.uuid4().hex}"
     same_or_null(docs, id_col, text_col, lang_col).mapInArrow(run, _BLOCK).write.bucketBy(buckets, "block").sortBy("block").saveAsTable(name)
@@ -74,46 +77,44 @@ def grams(codes: np.ndarray, order: int) -> tuple[list[np.ndarray], np.ndarray]:
     seen = np.zeros(int(codes.max()) + 1, bool)
     seen[codes] = True
     symbols = np.nonzero(seen)[0]
-    lookup = np.cumsum(seen, dtype=np.int64) - 1
+    lookup = np.cumsum(seen, dtype=np.int32) - 1
     symbol = lookup[codes]
     ids, rows = symbol, symbols[:, None]
     levels = [rows]
     for k in range(1, order):
-        key = ids[:-1] * len(symbols) + symbol[k:]
         span = len(rows) * len(symbols)
+        if span >= 1 << 31:
+            ids = ids.astype(np.int64)
+        key = ids[:-1] * len(symbols) + symbol[k:]
         if span <= 1 << 25:
             seen = np.zeros(span, bool)
             seen[key] = True
             distinct = np.nonzero(seen)[0]
             lookup = np.cumsum(seen, dtype=np.int32) - 1
-            ids = lookup[key].astype(np.int64)
+            ids = lookup[key]
         else:
             distinct, ids = np.unique(key, return_inverse=True)
+            ids = ids.astype(np.int32)
         rows = np.column_stack([rows[distinct // len(symbols)], symbols[distinct % len(symbols)]])
         levels.append(rows)
-    return levels, np.concatenate([np.full(order - 1, -1), ids])[: len(codes)]
+    return levels, np.concatenate([np.full(order - 1, -1, np.int32), ids])[: len(codes)]
 
 
 def _strings(rows: np.ndarray) -> list[str]:
     return np.ascontiguousarray(rows.astype("<u4")).view(f"<U{rows.shape[1]}").ravel().tolist()
 
 
-def _languages(langs: list[str], sizes: list[int], blob: bytes, order: int):
-    """For each language of a block: the places of its texts, their characters with pads before each, and the texts' bounds."""
+def _characters(sizes: list[int], blob: bytes, order: int) -> tuple[np.ndarray, list[int], list[int]]:
+    """A block's characters with pads before each text, and where each text starts and stops."""
     import zstandard
 
     text = np.frombuffer(zstandard.decompress(blob).decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), "<u4")
     text = np.where(text == 0, np.uint32(_NUL), text)
     ends = np.cumsum(sizes)
-    of: dict[str, list[int]] = {}
-    for k, lang in enumerate(langs):
-        of.setdefault(lang, []).append(k)
     pad = np.full(order - 1, PAD, np.uint32)
-    for lang, places in of.items():
-        parts = [x for k in places for x in (pad, text[ends[k] - sizes[k] : ends[k]])]
-        lengths = np.array([sizes[k] + order - 1 for k in places])
-        stops = np.cumsum(lengths)
-        yield lang, places, np.concatenate(parts), stops - lengths + order - 1, stops
+    parts = [x for end, size in zip(ends.tolist(), sizes, strict=True) for x in (pad, text[end - size : end])]
+    stops = ends + (order - 1) * np.arange(1, len(sizes) + 1)
+    return np.concatenate(parts), (stops - sizes).tolist(), stops.tolist()
 
 
 def block_grams(table: DataFrame, trusted: DataFrame, order: int) -> DataFrame:
@@ -126,22 +127,21 @@ def block_grams(table: DataFrame, trusted: DataFrame, order: int) -> DataFrame:
 
     def kernel(left: pa.Table, right: pa.Table) -> pa.Table:
         known = set(right.column("id").to_pylist())
-        out = []
-        for block, ids_of, langs, sizes, blob in zip(*(left.column(c).to_pylist() for c in ("block", "ids", "langs", "sizes", "texts")), strict=True):
-            for lang, places, codes, starts, stops in _languages(langs, sizes, blob, order):
-                levels, number = grams(codes, order) if len(codes) >= order else ([], np.empty(0, np.int64))
-                counts = np.zeros(len(levels[-1]) if levels else 0, np.int64)
-                real = np.zeros(len(counts), bool)
-                for k, a, b in zip(places, starts.tolist(), stops.tolist(), strict=True):
-                    real[number[a:b]] = True
-                    if ids_of[k] in known:
-                        np.add.at(counts, number[a:b], 1)
-                asked = [""] + [g for rows in levels[:-1] for g in _strings(rows)]
-                full = _strings(levels[-1][real]) if levels else []
-                n = [0] * len(asked) + counts[real].tolist()
-                names = asked + full
-                out.append(pa.table({"block": pa.array([block] * len(names), pa.int64()), "lang": pa.array([lang] * len(names)), "gram": pa.array(names), "n": pa.array(n, pa.int64())}))
-        return pa.concat_tables(out) if out else pa.table({"block": pa.array([], pa.int64()), "lang": pa.array([], pa.string()), "gram": pa.array([], pa.string()), "n": pa.array([], pa.int64())})
+        out = [pa.table({"block": pa.array([], pa.int64()), "lang": pa.array([], pa.string()), "gram": pa.array([], pa.string()), "n": pa.array([], pa.int64())})]
+        for block, lang, ids, sizes, blob in zip(*(left.column(c).to_pylist() for c in ("block", "lang", "ids", "sizes", "texts")), strict=True):
+            codes, starts, stops = _characters(sizes, blob, order)
+            levels, number = grams(codes, order) if len(codes) >= order else ([], np.empty(0, np.int64))
+            counts = np.zeros(len(levels[-1]) if levels else 0, np.int64)
+            real = np.zeros(len(counts), bool)
+            for i, a, b in zip(ids, starts, stops, strict=True):
+                real[number[a:b]] = True
+                if i in known:
+                    np.add.at(counts, number[a:b], 1)
+            names = [""] + [g for rows in levels[:-1] for g in _strings(rows)]
+            n = [0] * len(names) + counts[real].tolist()
+            names += _strings(levels[-1][real]) if levels else []
+            out.append(pa.table({"block": pa.array([block] * len(names), pa.int64()), "lang": pa.array([lang] * len(names)), "gram": pa.array(names), "n": pa.array(n, pa.int64())}))
+        return pa.concat_tables(out)
 
     return table.groupBy("block").cogroup(flags.groupBy("at")).applyInArrow(kernel, "block long, lang string, gram string, n long")
 
@@ -165,7 +165,7 @@ def model(counts: DataFrame, order: int) -> DataFrame:
         y = F.when(F.col("n1") > 0, F.col("n1") / (F.col("n1") + 2 * F.col("n2"))).otherwise(0.5)
         discounts = [F.when(F.col(f"n{i}") > 0, F.least(F.greatest(i - (i + 1) * y * F.col(f"n{i + 1}") / F.col(f"n{i}"), F.lit(0.0)), F.lit(i * 0.95))).otherwise(i * 0.5) for i in (1, 2, 3)]
         cut = F.element_at(F.array(*discounts), F.least("c", F.lit(3)).cast("int"))
-        rows = levels[k].join(n, "lang").select("lang", "gram", F.substring("gram", 1, k - 1).alias("context"), F.substring("gram", 2, k - 1).alias("suffix"), "c", cut.alias("cut"))
+        rows = levels[k].join(broadcast_if_small(n), "lang").select("lang", "gram", F.substring("gram", 1, k - 1).alias("context"), F.substring("gram", 2, k - 1).alias("suffix"), "c", cut.alias("cut"))
         contexts = rows.groupBy("lang", "context").agg(F.sum("c").alias("total"), (F.sum("cut") / F.sum("c")).alias("back"))
         lower = lower.select("lang", F.col("gram").alias("suffix"), F.col("p").alias("below"))
         p = (F.col("c") - F.col("cut")) / F.col("total") + F.col("back") * F.col("below")
@@ -176,7 +176,9 @@ def model(counts: DataFrame, order: int) -> DataFrame:
     both = values[0]
     for t in values[1:]:
         both = both.unionByName(t)
-    return both.groupBy("lang", "gram").agg(F.max("p").alias("p"), F.max("back").alias("back"))
+    values = materialise(both.groupBy("lang", "gram").agg(F.max("p").alias("p"), F.max("back").alias("back")), "model")
+    discard(*levels.values(), *probs[1:])
+    return values
 
 
 def log_probability(gram: str, p: dict, back: dict, memo: dict) -> float:
@@ -195,32 +197,31 @@ def log_probability(gram: str, p: dict, back: dict, memo: dict) -> float:
 
 def perplexities(table: DataFrame, requests: DataFrame, values: DataFrame, order: int) -> DataFrame:
     """(id, lang, n_chars, perplexity) of every text; null for a text without characters."""
-    answers = requests.select(F.col("block").alias("at"), "lang", "gram").join(values, ["lang", "gram"])
+    values = values.select("lang", "gram", F.col("p").cast("float"), F.col("back").cast("float"))
+    answers = requests.select(F.col("block").alias("at"), "lang", "gram").join(values, ["lang", "gram"]).drop("lang")
 
     def kernel(left: pa.Table, right: pa.Table) -> pa.Table:
-        p: dict[str, dict] = {}
-        back: dict[str, dict] = {}
-        for lang, gram, a, b in zip(*(right.column(c).to_pylist() for c in ("lang", "gram", "p", "back")), strict=True):
+        p, back = {}, {}
+        for gram, a, b in zip(*(right.column(c).to_pylist() for c in ("gram", "p", "back")), strict=True):
             if a is not None:
-                p.setdefault(lang, {})[gram] = a
+                p[gram] = a
             if b is not None:
-                back.setdefault(lang, {})[gram] = b
+                back[gram] = b
         out: list[tuple] = []
-        for ids_of, langs, sizes, blob in zip(*(left.column(c).to_pylist() for c in ("ids", "langs", "sizes", "texts")), strict=True):
-            for lang, places, codes, starts, stops in _languages(langs, sizes, blob, order):
-                memo: dict = {}
-                known, weights = p.get(lang, {}), back.get(lang, {})
-                levels, number = grams(codes, order) if len(codes) >= order else ([np.empty((0, order))], np.empty(0, np.int64))
-                logs = np.array([log_probability(g, known, weights, memo) for g in _strings(levels[-1])]) if len(levels[-1]) else np.empty(0)
-                for k, a, b in zip(places, starts.tolist(), stops.tolist(), strict=True):
-                    out.append((ids_of[k], lang, sizes[k], float(np.exp(-logs[number[a:b]].mean())) if b > a else None))
+        for lang, ids, sizes, blob in zip(*(left.column(c).to_pylist() for c in ("lang", "ids", "sizes", "texts")), strict=True):
+            codes, starts, stops = _characters(sizes, blob, order)
+            levels, number = grams(codes, order) if len(codes) >= order else ([np.empty((0, order))], np.empty(0, np.int64))
+            memo: dict = {}
+            logs = np.array([log_probability(g, p, back, memo) for g in _strings(levels[-1])]) if len(levels[-1]) else np.empty(0)
+            for i, size, a, b in zip(ids, sizes, starts, stops, strict=True):
+                out.append((i, lang, size, float(np.exp(-logs[number[a:b]].mean())) if b > a else None))
         a, b, c, d = zip(*out, strict=True) if out else ((), (), (), ())
         return pa.table({"id": pa.array(a, pa.int64()), "lang": pa.array(b, pa.string()), "n_chars": pa.array(c, pa.int64()), "perplexity": pa.array(d, pa.float64())})
 
     return table.groupBy("block").cogroup(answers.groupBy("at")).applyInArrow(kernel, "id long, lang string, n_chars long, perplexity double")
 
 
-def score_perplexity(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", order: int = 4, block_chars: int = 8_000_000, buckets: int | None = None) -> DataFrame:
+def score_perplexity(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", order: int = 4, block_chars: int = 6_000_000, buckets: int | None = None) -> DataFrame:
     """Perplexity per character of every text under the model of the trusted ones.
 
     ``trusted``: column id. Returns one row per input row: id, lang (null
@@ -233,7 +234,7 @@ def score_perplexity(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id"
     spark = docs.sparkSession
     table = blocks(docs, id_col, text_col, lang_col, block_chars, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))
     requests = materialise(block_grams(table, trusted, order), "grams")
-    values = materialise(model(requests.where("n > 0"), order), "model")
+    values = model(requests.where("n > 0"), order)
     scored = materialise(perplexities(table, requests, values, order), "perplexity")
     discard(requests, values)
     spark.sql(f"drop table {table.inkmill_name}")
@@ -257,6 +258,6 @@ def classify(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_c
     fence = F.exp(F.col("q")[1] + spread * (F.col("q")[1] - F.col("q")[0]))
     by_lang = held.groupBy("lang").agg(quantiles.alias("q"), F.count("*").alias("n")).where(F.col("n") >= least).select("lang", fence.alias("own"))
     overall = held.agg(quantiles.alias("q")).select(fence.alias("overall"))
-    out = scored.join(by_lang, "lang", "left").crossJoin(F.broadcast(overall))
+    out = scored.join(broadcast_if_small(by_lang), "lang", "left").crossJoin(F.broadcast(overall))
     threshold = F.coalesce("own", "overall")
     return out.select("id", "lang", "perplexity", threshold.alias("threshold"), F.coalesce(F.col("perplexity") <= threshold, F.lit(True)).alias("keep"))

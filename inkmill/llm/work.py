@@ -59,3 +59,9 @@ def map_batches(df: DataFrame, kernel: Callable[[pa.RecordBatch], pa.RecordBatch
 def same_or_null(df: DataFrame, *columns: str) -> DataFrame:
     """Only the named columns, so that extra columns with clashing names stay outside a plan."""
     return df.select(*[F.col(f"`{c}`") for c in columns])
+
+
+def broadcast_if_small(df: DataFrame, limit: int = 10_000) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``limit`` rows, which are counted first; unmarked beyond."""
+    rows = df.limit(limit + 1).collect()
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)) if len(rows) <= limit else df

@@ -51,7 +51,7 @@ def test_against_dictionaries(spark, order):
         slow = slow_model([t for i, t in enumerate(texts) if i < 26 and i % 2 == lang], order)
         for i in range(lang, 40, 2):
             want = slow(texts[i])
-            assert (want is None) == (got[i].perplexity is None) and (want is None or math.isclose(want, got[i].perplexity, rel_tol=1e-9))
+            assert (want is None) == (got[i].perplexity is None) and (want is None or math.isclose(want, got[i].perplexity, rel_tol=1e-5))
     assert len(got) == 40
 
 
