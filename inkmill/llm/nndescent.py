@@ -22,8 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkmill.llm.components import connected_components
 from inkmill.llm.work import discard, materialise, same_or_null
+from inkmill.operators.graph import connected_components
 
 _PAIR = "a long, b long, sim double"
 

@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkmill.llm.components import connected_components
 from inkmill.llm.work import map_batches, materialise, same_or_null
+from inkmill.operators.graph import connected_components
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _SEED = 42

@@ -1,44 +1,16 @@
-"""Shared folder for intermediate tables, and Arrow batch helpers.
-
-Iterative operators cut their lineage by writing Parquet into the folder that
-the cluster names in ``spark.checkpoint.dir``, which every executor reads; a
-lost executor then loses no finished round.
-"""
+"""Arrow batch helpers of the training-data operators; intermediate tables are those of the core library."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Used only where the session names no folder, as in tests on one machine.
-LOCAL_FOLDER = "/tmp/checkpoints/inkmill"
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``, or LOCAL_FOLDER where unset."""
-    return spark.sparkContext.getConf().get("spark.checkpoint.dir") or LOCAL_FOLDER
-
+from inkmill.operators.work import broadcast_if_small, discard, materialise
 
-def materialise(df: DataFrame, label: str = "step") -> DataFrame:
-    """Write ``df`` into the shared folder and return a scan of what was written."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    table = spark.read.schema(df.schema).parquet(path)
-    table._inkmill_path = path
-    return table
-
-
-def discard(*tables: DataFrame) -> None:
-    """Delete written tables that no plan reads any more."""
-    for table in tables:
-        jvm = table.sparkSession._jvm
-        path = jvm.org.apache.hadoop.fs.Path(table._inkmill_path)
-        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+__all__ = ["broadcast_if_small", "discard", "map_batches", "materialise", "same_or_null"]
 
 
 def map_batches(df: DataFrame, kernel: Callable[[pa.RecordBatch], pa.RecordBatch | list], schema: str, rows: int = 256) -> DataFrame:
@@ -59,9 +31,3 @@ def map_batches(df: DataFrame, kernel: Callable[[pa.RecordBatch], pa.RecordBatch
 def same_or_null(df: DataFrame, *columns: str) -> DataFrame:
     """Only the named columns, so that extra columns with clashing names stay outside a plan."""
     return df.select(*[F.col(f"`{c}`") for c in columns])
-
-
-def broadcast_if_small(df: DataFrame, limit: int = 10_000) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``limit`` rows, which are counted first; unmarked beyond."""
-    rows = df.limit(limit + 1).collect()
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)) if len(rows) <= limit else df

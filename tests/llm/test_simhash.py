@@ -3,8 +3,8 @@ import random
 import pytest
 import xxhash
 
-from inkmill.llm.components import connected_components
 from inkmill.llm.simhash import fingerprint, near_edges, simhash_groups
+from inkmill.operators.graph import connected_components
 
 
 def slow_fingerprint(text, width=3):
