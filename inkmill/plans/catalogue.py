@@ -1,17 +1,6 @@
-"""Query catalogue of the core library: name -> plan, name -> DuckDB SQL."""
+"""The core library's query catalogue."""
 
-from __future__ import annotations
+from inkmill.plans import q_boxes, q_shapes, q_stats, q_text  # noqa: F401
+from inkmill.plans.registry import ORACLE_SQL, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def _q50(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return events.groupBy("event_type").agg(F.count("*").alias("n"))
-
-
-QUERIES["q50_flagship"] = _q50
+__all__ = ["ORACLE_SQL", "QUERIES"]
