@@ -247,7 +247,7 @@ def tilt(image: np.ndarray) -> float:
     def chain(pts) -> list:
         out: list = []
         for p in pts:
-            while len(out) > 1 and np.cross(out[-1] - out[-2], p - out[-2]) <= 0:
+            while len(out) > 1 and (out[-1] - out[-2])[0] * (p - out[-2])[1] <= (out[-1] - out[-2])[1] * (p - out[-2])[0]:
                 out.pop()
             out.append(p)
         return out[:-1]

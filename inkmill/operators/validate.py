@@ -35,12 +35,20 @@ class Grammar:
     keys: dict[str, tuple[str, str | None]]  # insert -> (icon, role), the first of equal inserts
 
     def pattern(self) -> str:
-        """Tokens in order of precedence; the groups are key, cluster, atom, modifier, other."""
+        """Tokens in order of precedence; the groups are key, plain, cluster, modifier, other.
+
+        A plain token is a whole run of what cannot be an error (atomic signs,
+        bases with one modifier at most), so that most text is one match.
+        """
 
         def one_of(texts) -> str:
-            return "|".join(re.escape(t) for t in sorted(texts, key=lambda t: (-len(t), t))) or r"(?!)"
+            single = "".join(re.escape(t) for t in sorted(texts) if len(t) == 1)
+            longer = [re.escape(t) for t in sorted(texts, key=lambda t: (-len(t), t)) if len(t) > 1]
+            return "(?:" + "|".join([*longer, *([f"[{single}]"] if single else [])]) + ")" if texts else r"(?!)"
 
-        return f"(?P<key>{one_of(self.keys)})|(?P<cluster>(?:{one_of(self.bases)})(?:{one_of(self.modifiers)})*)|(?P<atom>{one_of(self.atoms)})|(?P<modifier>{one_of(self.modifiers)})|(?P<other>.)"
+        key, base, modifier, atom = map(one_of, (self.keys, self.bases, self.modifiers, self.atoms))
+        plain = f"(?:(?!{key})(?:{base}{modifier}?(?!{modifier})|{atom}))+"
+        return f"(?P<key>{key})|(?P<plain>{plain})|(?P<cluster>{base}{modifier}*)|(?P<modifier>{modifier})|(?P<other>.)"
 
 
 def grammar(symbols: DataFrame) -> Grammar:
