@@ -15,7 +15,7 @@ from inkmill.llm.kneser_ney import classify
 from inkmill.llm.mixing import mix_documents
 from inkmill.llm.packing import pack
 from inkmill.llm.queries import TOKENIZER, held_out, trusted_ids
-from inkmill.llm.simhash import simhash_groups
+from inkmill.llm.simhash import similar_groups
 from inkmill.llm.toxicity import fit, score_column
 from inkmill.llm.work import discard, materialise
 
@@ -39,8 +39,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of every SimHash group (five-word shingles, two bits); rows with a null id stay."""
-    groups = simhash_groups(docs, "doc_id", "text", width=5, max_distance=2)
+    """Keep the document with the smallest id of every group of similarity 0.8 over five-word shingles; rows with a null id stay."""
+    groups = materialise(similar_groups(docs, "doc_id", "text", similarity=0.8, width=5), "groups")
     first = groups.where("id = component_id").select(F.col("id").alias("doc_id")).distinct()
     kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
     return kept.unionByName(docs.where("doc_id is null"))

@@ -49,7 +49,9 @@ class OnePermutation:
 
     def minima(self, text: str | None) -> np.ndarray:
         """The densified least hash of every bin; a text without words counts as one empty shingle."""
-        h = shingle_hashes(text, self.width)
+        return self._minima(shingle_hashes(text, self.width))
+
+    def _minima(self, h: np.ndarray) -> np.ndarray:
         h = np.sort(h if len(h) else np.array([0xEF46DB3751D8E999], np.uint64))
         of = (h >> np.uint64(64 - self.bin_bits)).astype(np.int64)
         first = np.concatenate([[True], of[1:] != of[:-1]])
@@ -66,7 +68,11 @@ class OnePermutation:
 
     def fingerprint(self, text: str | None) -> np.ndarray:
         """The low bits of every bin, one bin an element."""
-        return (_mixed(self.minima(text)) & np.uint64((1 << self.low_bits) - 1)).astype(np.uint8)
+        return self.from_hashes(shingle_hashes(text, self.width))
+
+    def from_hashes(self, h: np.ndarray) -> np.ndarray:
+        """The fingerprint from shingle hashes that are at hand."""
+        return (_mixed(self._minima(h)) & np.uint64((1 << self.low_bits) - 1)).astype(np.uint8)
 
     def packed(self, fp: np.ndarray) -> bytes:
         bits = np.unpackbits(fp[:, None], axis=1)[:, 8 - self.low_bits :]

@@ -12,6 +12,12 @@ Keys that many distinct fingerprints share are not paired off. There each
 fingerprint emits the patterns within half the distance of its remaining bits;
 two fingerprints within the distance share a pattern, and every holder of a
 pattern is tied to its least holder, so emission is linear in the group.
+
+``similar_groups`` groups by the similarity of the shingle sets instead. Texts
+of similarity 0.8 differ in about ten of 64 bits, where no pair of segments
+need be equal; there, texts that share one of their smallest shingle hashes
+meet, the running budgets and the distance prune them, and a one-permutation
+sketch confirms the similarity.
 """
 
 from __future__ import annotations
@@ -48,7 +54,10 @@ def shingle_hashes(text: str | None, width: int, seed: int = _SEED) -> np.ndarra
 
 def fingerprint(text: str | None, width: int = 3) -> int:
     """64-bit SimHash as a signed long; 0 for a text without words."""
-    h = shingle_hashes(text, width)
+    return _bits(shingle_hashes(text, width))
+
+
+def _bits(h: np.ndarray) -> int:
     if not len(h):
         return 0
     ones = np.zeros(64, np.int64)
@@ -154,3 +163,104 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     roots = connected_components(near_edges(fps.where("rep is not null"), max_distance))
     labels = fps.join(roots, fps["rep"] == roots["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
     return marked.join(labels, "fp").select("id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def within_ring(x: np.ndarray, max_distance: int, segments: int = 8) -> np.ndarray:
+    """The running budgets over xor-ed fingerprints (uint64): some start keeps every run within its proportional share."""
+    d = np.bitwise_count(x[:, None].view(np.uint8)).astype(np.int16) if segments == 8 else np.stack([np.bitwise_count((x >> np.uint64(lo)) & np.uint64((1 << (hi - lo)) - 1)) for lo, hi in _bounds(segments)], axis=1).astype(np.int16)
+    run, ok = np.zeros_like(d), np.ones(d.shape, bool)
+    for n in range(1, segments + 1):
+        run = run + np.roll(d, -(n - 1), axis=1)
+        ok &= run <= n * max_distance // segments
+    return ok.any(axis=1)
+
+
+def _forest(ids: np.ndarray, fps: np.ndarray, sketches: np.ndarray, left: np.ndarray, right: np.ndarray, max_distance: int, least: float) -> list[tuple[int, int]]:
+    """Edges that leave connected what is similar between two lists of places; places already connected are not compared."""
+    root = np.arange(len(ids))
+
+    def find(a: int) -> int:
+        while root[a] != a:
+            root[a] = root[root[a]]
+            a = root[a]
+        return a
+
+    edges = []
+    for i in left:
+        others = right[right != i]
+        x = fps[others] ^ fps[i]
+        others = others[within_ring(x, max_distance) & (np.bitwise_count(x) <= max_distance)]
+        if len(others):
+            roots = np.array([find(j) for j in others])
+            others = others[roots != find(i)]
+        if len(others):
+            for j in others[(sketches[others] == sketches[i]).mean(axis=1) >= least]:
+                a, b = find(i), find(j)
+                if a != b:
+                    root[max(a, b)] = min(a, b)
+                    edges.append((int(ids[i]), int(ids[j])))
+    return edges
+
+
+def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, width: int = 5, max_distance: int = 14, anchors: int = 4, block_rows: int = 4096) -> DataFrame:
+    """Group texts whose ``width``-word shingle sets are similar, links chained: id, fp, component_id.
+
+    Every text brings its SimHash, its ``anchors`` smallest shingle hashes and
+    a sketch of 256 bins. Texts that share an anchor meet, in blocks of
+    ``block_rows`` that are compared a pair of blocks at a time; what a block
+    emits is a forest, so emission is linear whatever the size of a group. The
+    similarity is the sketch's estimate (standard error 0.025 at 0.8), and what
+    is under ``similarity`` by no more than that counts. Texts with equal
+    fingerprints and sketches are copies. Null, empty and blank texts are
+    copies of each other. Rows with a null id label nothing and have their
+    group's label; repeated rows, extra columns and empty tables are as in
+    ``simhash_groups``.
+    """
+    from inkmill.llm.minhash import OnePermutation
+
+    scheme = OnePermutation(bin_bits=8, low_bits=8, width=width)
+    chance = 0.5**scheme.low_bits
+    least = (similarity - 0.025) * (1 - chance) + chance
+
+    def mark(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out = []
+        for text in batch.column(1).to_pylist():
+            h = shingle_hashes(text, width)
+            out.append((_bits(h), scheme.packed(scheme.from_hashes(h)), np.unique(h)[:anchors].view(np.int64).tolist() or [0]))
+        fp, sketch, small = zip(*out, strict=True)
+        return pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(fp, pa.int64()), pa.array(sketch, pa.binary()), pa.array(small, pa.list_(pa.int64()))], ["id", "fp", "sketch", "anchors"])
+
+    marked = materialise(map_batches(same_or_null(docs, id_col, text_col), mark, "id long, fp long, sketch binary, anchors array<long>"), "marks")
+    nodes = materialise(marked.groupBy("fp", "sketch").agg(F.min("id").alias("rep"), F.first("anchors").alias("anchors")), "nodes")
+    held = nodes.where("rep is not null").select("rep", "fp", "sketch", F.explode("anchors").alias("anchor"))
+    sizes = held.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+    met = held.join(sizes, "anchor").withColumn("blocks", F.ceil(F.col("n") / block_rows).cast("int")).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    sent = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("anchor", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "fp", "sketch")
+
+    def compare(batches):
+        key, group = None, []
+
+        def edges() -> list[tuple[int, int]]:
+            own, ids, fps = np.array([r[0] for r in group]), np.array([r[1] for r in group]), np.array([r[2] for r in group], np.int64).view(np.uint64)
+            sketches = np.frombuffer(b"".join(r[3] for r in group), np.uint8).reshape(len(group), -1)
+            left, right = (np.nonzero(own == k)[0] for k in key[1:])
+            return _forest(ids, fps, sketches, left, right, max_distance, least)
+
+        for batch in batches:
+            found = []
+            for anchor, i, j, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (anchor, i, j) != key:
+                    found += edges() if len(group) > 1 else []
+                    key, group = (anchor, i, j), []
+                group.append(row)
+            yield _edge_batch(found)
+        yield _edge_batch(edges() if len(group) > 1 else [])
+
+    links = sent.repartition("anchor", "i", "j").sortWithinPartitions("anchor", "i", "j", "rep").mapInArrow(compare, "a long, b long")
+    roots = connected_components(links)
+    labels = nodes.join(roots, nodes["rep"] == roots["node"], "left").select("fp", "sketch", F.coalesce("component", "rep").alias("component_id"))
+    return marked.join(labels, ["fp", "sketch"]).select("id", "fp", "component_id")
+
+
+def _edge_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([a for a, _ in edges], pa.int64()), pa.array([b for _, b in edges], pa.int64())], ["a", "b"])

@@ -8,7 +8,7 @@ import corpus_pipeline as cp
 from inkmill.llm.kneser_ney import classify
 from inkmill.llm.queries import TOKENIZER, held_out, trusted_ids
 from inkmill.llm.toxicity import Settings, features, fit
-from tests.llm.test_simhash import slow_fingerprint, slow_groups
+from tests.llm.test_simhash import jaccards, link
 
 SF = "/root/testdata/sf0.01"
 
@@ -48,11 +48,14 @@ def test_toxicity(spark, stages):
 
 
 def test_near_duplicates(stages):
-    before = rows(stages["toxicity"])
-    groups = slow_groups({i: slow_fingerprint(r.text, 5) for i, r in sorted(before.items())}, 2)
-    kept = stages["near_duplicates"].collect()
-    assert sorted(r.doc_id for r in kept) == sorted(set(groups.values())) and len(kept) < len(before)
-    assert all(before[r.doc_id] == r for r in kept)
+    before, kept = rows(stages["toxicity"]), stages["near_duplicates"].collect()
+    likeness, groups = jaccards(before), {r.doc_id for r in kept}
+    assert len(kept) == len(groups) < len(before) and all(before[r.doc_id] == r for r in kept)
+    for i in before:
+        best = max([j for (a, b), j in likeness.items() if i in (a, b)], default=0)
+        assert i in groups or best >= 0.72
+    sure = link({p: j for p, j in likeness.items() if j >= 0.87})
+    assert all(sum(i in groups for i in group) <= 1 for group in sure)
 
 
 def test_mixing(stages):

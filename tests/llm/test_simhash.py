@@ -1,9 +1,10 @@
 import random
 
+import numpy as np
 import pytest
 import xxhash
 
-from inkmill.llm.simhash import fingerprint, near_edges, simhash_groups
+from inkmill.llm.simhash import fingerprint, near_edges, shingle_hashes, similar_groups, simhash_groups, within_ring
 from inkmill.operators.graph import connected_components
 
 
@@ -82,3 +83,56 @@ def test_query_matches_all_pairs(spark, sf):
     got = QUERIES["op1_simhash"](spark, sf).collect()
     assert {r.doc_id: r.component_id for r in got} == slow_groups(fps, 2)
     assert {r.doc_id: r.fingerprint for r in got} == {i: f"{x & (2**64 - 1):016x}" for i, x in fps.items()}
+
+
+def jaccards(docs, width=5):
+    """Exact similarity of every pair that shares a shingle; docs: id -> row with text."""
+    sets = {i: set(shingle_hashes(r.text, width).tolist()) or {0} for i, r in docs.items()}
+    holders = {}
+    for i, x in sets.items():
+        for h in x:
+            holders.setdefault(h, []).append(i)
+    pairs = {(a, b) for ids in holders.values() for a in ids for b in ids if a < b}
+    return {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a, b in pairs}
+
+
+def link(pairs):
+    """Connected groups of pairs."""
+    group = {}
+    for a, b in pairs:
+        joined = group.get(a, {a}) | group.get(b, {b})
+        for i in joined:
+            group[i] = joined
+    return list({id(g): g for g in group.values()}.values())
+
+
+def test_running_budgets_never_lose_a_pair():
+    rng = np.random.default_rng(1)
+    for segments, distance in ((8, 14), (5, 3), (4, 2)):
+        x = np.zeros(4000, np.uint64)
+        for _ in range(distance):
+            x |= np.uint64(1) << rng.integers(0, 64, 4000).astype(np.uint64)
+        assert within_ring(x, distance, segments).all()
+    noise = rng.integers(0, 2**63, 4000).astype(np.uint64)
+    assert within_ring(noise, 14).mean() < 0.01
+
+
+@pytest.mark.parametrize("block_rows", [5, 4096])
+def test_similar_groups_against_exact_similarity(spark, block_rows):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    got = {r.id: r.component_id for r in similar_groups(docs, block_rows=block_rows).collect()}
+    pairs = jaccards({r.doc_id: r for r in docs.collect()})
+    sure, close = ([p for p, j in pairs.items() if j >= t] for t in (0.87, 0.72))
+    assert len(sure) > 20 and all(got[a] == got[b] for a, b in sure)
+    may = {i: min(g) for g in link(close) for i in g}
+    assert all(got[i] == i or may.get(i) == may.get(got[i]) for i in got)
+
+
+def test_similar_groups_edge_rows(spark):
+    many = " ".join(f"w{i}" for i in range(300))
+    rows = [(5, many, 0), (2, many + " tail", 0), (9, many, 0), (9, many, 0), (None, many, 0), (7, None, 0), (6, " ", 0), (3, "alone", 0), (4, "x " * 90000, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, anchors int")
+    got = sorted((str(r.id), r.component_id) for r in similar_groups(docs).collect())
+    assert got == [("2", 2), ("3", 3), ("4", 4), ("5", 2), ("6", 6), ("7", 6), ("9", 2), ("9", 2), ("None", 2)]
+    assert similar_groups(docs.limit(0)).collect() == []
