@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from inkmill.functions.boxes import percent_to_centre, pixels_to_percent, yolo_line
 from inkmill.functions.text import book_of_label, class_group, class_icon
+from inkmill.operators.work import broadcast_if_small
 
 #: Label colours, by class number modulo their count.
 PALETTE = ("#1f77b4", "#ff7f0e", "#2ca02c", "#d62728", "#9467bd", "#8c564b", "#e377c2", "#7f7f7f", "#bcbd22", "#17becf")
@@ -26,7 +27,7 @@ def boxes_from_tasks(tasks: DataFrame, classes: DataFrame, image: str) -> DataFr
     """
     results = tasks.select(F.col("id").alias("task"), F.col(image).alias("image"), F.posexplode(latest_result()).alias("ord", "r")).where("r.type = 'rectanglelabels'")
     boxes = results.select("task", "image", "ord", F.try_element_at("r.value.rectanglelabels", F.lit(1)).alias("name"), "r.value.x", "r.value.y", F.col("r.value.width").alias("w"), F.col("r.value.height").alias("h"))
-    joined = boxes.join(F.broadcast(classes.select("class_id", "name").limit(100_000)), "name", "left")
+    joined = boxes.join(broadcast_if_small(classes.select("class_id", "name")), "name", "left")
     missing = F.raise_error(F.concat(F.lit("unknown label: "), F.coalesce("name", F.lit("null")))).cast("int")
     return joined.select("task", "image", "ord", F.coalesce("class_id", missing).alias("class_id"), *percent_to_centre("x", "y", "w", "h"))
 
@@ -45,7 +46,7 @@ def parse_label_lines(lines: DataFrame, classes: DataFrame, path: str = "path",
     rows = lines.where(F.trim(F.regexp_replace(value, r"\s+", " ")) != "").withColumn("_p", F.when(F.size(parts) < 5, F.raise_error(F.concat(F.lit("too few columns at "), where)).cast("array<string>")).otherwise(parts))
     fields = [F.col("_p")[k].cast("double").alias(n) for k, n in enumerate(("x_center", "y_center", "width", "height"), 1)]
     rows = rows.select(path, number, F.col("_p")[0].cast("int").alias("class_id"), *fields, where.alias("_where"))
-    joined = rows.join(F.broadcast(classes.select("class_id", "name").limit(100_000)), "class_id", "left")
+    joined = rows.join(broadcast_if_small(classes.select("class_id", "name")), "class_id", "left")
     name = F.coalesce("name", F.raise_error(F.concat(F.lit("unknown class at "), F.col("_where"))).cast("string"))
     page = F.regexp_extract(path, r"([^/]*?)(\.[^./]*)?$", 1)
     return joined.withColumn("class_name", name).select(number, "class_id", "class_name", class_group("class_name").alias("group"), class_icon("class_name").alias("icon"), "x_center", "y_center", "width", "height", book_of_label(path).alias("book_id"), page.alias("page_id"))

@@ -116,9 +116,9 @@ def match_groups(pages: DataFrame, made: DataFrame, limits: dict[str, tuple[floa
     return suppress(ranked, ["page"], complex_order() if complex_first else priority_order(), ["ord"], iou)
 
 
-def match_cascade(pages: DataFrame, made: DataFrame, threshold: float = 0.65, iou: float = 0.3, *, score_only: bool = False) -> DataFrame:
+def match_cascade(pages: DataFrame, made: DataFrame, threshold: float = 0.65, iou: float = 0.3, *, score_only: bool = False, gradients: bool = False) -> DataFrame:
     """GRD6, IMG17: all placements, larger templates first, or the score alone."""
-    found = detections(pages, made, {}, threshold, only_peaks=False)
+    found = detections(pages, made, {}, threshold, only_peaks=False, gradients=gradients)
     return suppress(found, ["page"], cascade_order(score_only=score_only), ["ord"], iou)
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from inkmill.operators.work import broadcast_if_small
+
 
 def frequencies(df: DataFrame, keys: list[str], within: list[str] | None = None, count: str = "n", share: str = "share") -> DataFrame:
     """AGG1-AGG3: rows per key and their share of all rows, or of the rows with the same ``within`` keys.
@@ -88,7 +90,7 @@ def group_limits(groups: DataFrame, limits: DataFrame, default_threshold: float,
 
     ``groups``: group_id, icon. ``limits``: icon, threshold, priority.
     """
-    joined = groups.join(F.broadcast(limits), "icon", "left")
+    joined = groups.join(broadcast_if_small(limits), "icon", "left")
     return joined.groupBy("group_id").agg(F.coalesce(F.min("threshold"), F.lit(default_threshold)).alias("threshold"), F.coalesce(F.max("priority"), F.lit(default_priority)).alias("priority"))
 
 

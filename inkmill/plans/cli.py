@@ -8,12 +8,14 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from inkmill.functions.boxes import audit_passed
-from inkmill.functions.text import GLYPH_RANGES, local_file_url, parse_assignments, parse_codepoint, parse_page_ranges
+from inkmill.functions.text import GLYPH_RANGES, in_ranges, local_file_url, parse_assignments, parse_codepoint, parse_page_ranges
 from inkmill.operators import annotate, layout, manifest, matching, shapes, stats, taxonomy, validate
+from inkmill.operators.work import broadcast_if_small
 from inkmill.sources import files, sinks
 
 #: Sizes and limits that the tools use unless told otherwise.
 SIZES_PT = (6.5, 7.0, 7.5, 8.0, 8.5, 9.0, 9.5)
+MATCH_SIZES_PT = (7.0, 8.5, 10.0, 11.5, 13.0)
 ICON_LIMITS = {"Apostrofos": (0.65, 35), "Isson2": (0.75, 40), "Oligon": (0.78, 5), "OnePlusOneUp": (0.65, 50)}
 
 
@@ -33,6 +35,8 @@ def _shape_groups(spark, a):
     groups = shapes.shape_groups(found, a.shape_threshold, None if a.no_mirror else 48)
     if a.aliases:
         groups = shapes.merge_aliases(groups, files.read_aliases(spark, a.aliases))
+    if a.family_alias:
+        groups = shapes.merge_aliases(groups, spark.createDataFrame([(k, list(keys)) for k, keys in enumerate(a.family_alias)], "ord int, keys array<long>"))
     return glyphs, found, groups
 
 
@@ -63,7 +67,7 @@ def match(a) -> None:
     made = stats.largest_sizes(sized, ["Oligon", "OnePlusOneUp"]).withColumnRenamed("group_id", "label").drop("icons") if not a.all_sizes else made
     limits = spark.createDataFrame([(k, float(t), p) for k, (t, p) in ({} if a.no_icon_thresholds else ICON_LIMITS | {k: (v, 10) for k, v in parse_assignments(a.icon_threshold).items()}).items()], "icon string, threshold double, priority int")
     by_group = stats.group_limits(names.select(F.col("id").alias("group_id"), F.explode_outer("icons").alias("icon")), limits, a.threshold, 10)
-    hits = matching.match_groups(files.page_images(spark, a.pages, a.book, a.limit), made, {r.group_id: (r.threshold, r.priority) for r in sinks.rows_of(by_group)}, a.threshold, a.iou, complex_first=not a.no_complex_first)
+    hits = matching.match_groups(files.page_images(spark, a.pages, a.book, a.limit), made, {r.group_id: (r.threshold, 10 if a.score_only_nms else r.priority) for r in sinks.rows_of(by_group)}, a.threshold, a.iou, complex_first=not a.no_complex_first)
     from inkmill.operators.work import materialise
 
     hits = materialise(hits, "matches")
@@ -76,11 +80,17 @@ def match(a) -> None:
 def count_frequencies(a) -> None:
     spark = _spark()
     pages = files.frequency_pages(files.read_manifest(spark, a.manifest), None if a.all else a.sample, str(a.seed), a.book)
-    images = files.page_images(spark, a.pages).join(F.broadcast(pages.select("book_id", "page_number").limit(sinks.MAX_ROWS)), ["book_id", "page_number"], "left_semi")
-    glyphs = files.read_glyphs(spark, a.glyphs)
+    images = files.page_images(spark, a.pages).join(broadcast_if_small(pages.select("book_id", "page_number")), ["book_id", "page_number"], "left_semi")
+    glyphs = files.read_glyphs(spark, a.glyphs).where((F.col("cp") >= 0x20) & in_ranges("cp"))
     made = matching.templates(glyphs, glyphs.select(F.format_string("U+%04X", "cp").alias("label"), "cp"), a.size, a.dpi)
-    counts = matching.page_counts(matching.match_cascade(images, made, a.threshold, score_only=True))
-    table = matching.frequency_table(counts, glyphs.select(F.format_string("U+%04X", "cp").alias("label"), "cp"), images.select("page").count())
+    counts = matching.page_counts(matching.match_cascade(images, made, a.threshold, score_only=True, gradients=not a.no_gradient))
+    known = glyphs.select(F.format_string("U+%04X", "cp").alias("label"), "cp")
+    if a.families:
+        listed = files.read_families(spark, a.families).select("representative", F.posexplode("codepoints").alias("ord", "member"))
+        summed = counts.groupBy("label").agg(F.sum("n").alias("n"))
+        folded = stats.fold_families(summed, known, listed, "label", "n")
+        counts, known = folded.select(F.col("family").alias("label"), "n"), known.join(folded.select(F.col("family").alias("label")), "label", "left_semi")
+    table = matching.frequency_table(counts, known, images.select("page").count())
     table.write.mode("overwrite").option("header", "true").csv(f"{a.output}/frequencies")
     page, console = sinks.frequency_report(table)
     sinks.write_text(spark, f"{a.output}/frequencies.html", page)
@@ -221,12 +231,12 @@ def parser() -> argparse.ArgumentParser:
     def many(flag, kind=str, default=None):
         return flag, {"nargs": "*", "type": kind, "default": default or []}
 
-    glyph = (need("--glyphs"), need("--symbol-map"), opt("--aliases"), opt("--shape-threshold", 0.86, float), on("--no-mirror"), many("--codepoint-range"))
+    glyph = (need("--glyphs"), need("--symbol-map"), opt("--aliases"), opt("--shape-threshold", 0.86, float), on("--no-mirror"), many("--codepoint-range"), ("--family-alias", {"action": "append", "type": _families, "default": []}))
     tool(plan_pages, "plan", need("--book"), need("--pages"), need("--manifest"), opt("--chunk", 25, int))
     tool(segment, "segment", many("--pages"), many("--book"), opt("--limit", None, int), opt("--direction", "ltr"), opt("--min-row-height", 3, int), need("--output"), opt("--html"))
-    tool(match, "match", *glyph, many("--pages"), many("--book"), opt("--limit", None, int), many("--size", float, list(SIZES_PT)), opt("--dpi", 300, int), opt("--threshold", 0.75, float), opt("--iou", 0.3, float), many("--icon-threshold"), on("--no-icon-thresholds"), on("--no-complex-first"), on("--all-sizes"), need("--output"))
-    tool(count_frequencies, "frequencies", need("--manifest"), need("--glyphs"), many("--pages"), opt("--book"), on("--all"), opt("--sample", 100, int), opt("--seed", 42, int), many("--size", float, list(SIZES_PT)), opt("--dpi", 300, int), opt("--threshold", 0.65, float), need("--output"))
-    tool(families, "families", need("--glyphs"), opt("--threshold", 0.85, float), on("--heat-map"), need("--output"))
+    tool(match, "match", *glyph, many("--pages"), many("--book"), opt("--limit", None, int), many("--size", float, list(MATCH_SIZES_PT)), opt("--dpi", 300, int), opt("--threshold", 0.75, float), opt("--iou", 0.3, float), on("--score-only-nms"), many("--icon-threshold"), on("--no-icon-thresholds"), on("--no-complex-first"), on("--all-sizes"), need("--output"))
+    tool(count_frequencies, "frequencies", need("--manifest"), need("--glyphs"), many("--pages"), opt("--book"), on("--all"), opt("--sample", 100, int), opt("--seed", 42, int), opt("--families"), on("--no-gradient"), many("--size", float, list(MATCH_SIZES_PT)), opt("--dpi", 300, int), opt("--threshold", 0.65, float), need("--output"))
+    tool(families, "families", need("--glyphs"), opt("--threshold", 0.80, float), on("--heat-map"), need("--output"))
     tool(propose, "propose", *glyph, opt("--min-similarity", 0.45, float), opt("--limit", 100, int), need("--output"))
     tool(symbol_statistics, "stats", need("--labels"), need("--classes"), need("--output"))
     tool(import_labels, "import", need("--tasks"), need("--classes"), opt("--split", "train"), need("--output"))

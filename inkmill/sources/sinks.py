@@ -19,6 +19,7 @@ from inkmill.functions.text import codepoint_key
 from inkmill.operators.annotate import label_elements
 from inkmill.operators.manifest import upsert
 from inkmill.operators.stats import frequencies, nearest
+from inkmill.operators.work import broadcast_if_small
 from inkmill.sources.files import read_manifest
 
 MAX_ROWS = 200_000
@@ -118,7 +119,7 @@ def matches_json(found: DataFrame) -> DataFrame:
 def write_detections(found: DataFrame, groups: DataFrame, path: str) -> None:
     """SNK7: flat detections as CSV, group members joined by spaces. ``groups``: id, representative, members."""
     keys = F.array_join(F.transform("members", lambda k: codepoint_key(k)), " ")
-    named = F.broadcast(groups.select(F.col("id").alias("label"), codepoint_key("representative").alias("representative"), keys.alias("members")).limit(MAX_ROWS))
+    named = broadcast_if_small(groups.select(F.col("id").alias("label"), codepoint_key("representative").alias("representative"), keys.alias("members")))
     out = found.join(named, "label").select("page", F.col("label").alias("group_id"), "representative", "x", "y", F.col("w").alias("width"), F.col("h").alias("height"), "score", F.col("pt").alias("size_pt"), "members")
     out.write.mode("overwrite").option("header", "true").csv(path)
 
@@ -194,10 +195,20 @@ def write_tasks(tasks: DataFrame, path: str) -> None:
     write_json(tasks.select(data.alias("data"), *extra), path)
 
 
+#: The labelling interface around its labels.
+LABEL_VIEW = """<View>
+  <Image name="image" value="$image" zoom="true" zoomControl="true" rotateControl="false"/>
+  <RectangleLabels name="label" toName="image" strokeWidth="2" canRotate="false">
+{}
+  </RectangleLabels>
+</View>
+"""
+
+
 def label_config(classes: DataFrame) -> str:
     """SNK16: the labelling interface's XML."""
     elements = "\n".join(f"    {r.element}" for r in rows_of(label_elements(classes).orderBy("class_id")))
-    return f'<View>\n  <Image name="image" value="$image" zoom="true" zoomControl="true"/>\n  <RectangleLabels name="label" toName="image">\n{elements}\n  </RectangleLabels>\n</View>\n'
+    return LABEL_VIEW.format(elements)
 
 
 def label_statistics(boxes: DataFrame) -> dict[str, DataFrame]:
@@ -228,7 +239,7 @@ def write_audit(audited: DataFrame, path: str) -> None:
 
 
 #: The order of groups on the reference sheet; other groups are left out.
-SHEET_GROUPS = ("base_neume", "modifier_gorgon", "modifier_modulation", "modifier_isson", "mode", "rest", "key_signature")
+SHEET_GROUPS = ("base_neume", "rest", "modifier_gorgon", "modifier_isson", "modifier_modulation", "mode", "key_signature")
 
 
 def reference_sheet(classes: DataFrame, thumbnails: DataFrame) -> str:

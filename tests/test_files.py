@@ -209,7 +209,11 @@ def test_command_lines(spark, pages, glyphs, symbol_map, tmp_path, capsys):
     cli.main(["plan", "--book", "one", "--pages", "1-5", "--manifest", f"{out}/m"])
     cli.main(["tasks", "--manifest", f"{out}/m", "--root", str(tmp_path), "--output", f"{out}/tasks.json"])
     assert len(json.loads((tmp_path / "o" / "tasks.json").read_text())) == 2
-    cli.main(["frequencies", "--manifest", f"{out}/m", "--glyphs", glyphs, "--pages", pages, "--all", "--size", "96", "--output", out])
+    cli.main(["frequencies", "--manifest", f"{out}/m", "--glyphs", glyphs, "--pages", pages, "--all", "--size", "96", "--threshold", "0.9", "--output", out])
+    (tmp_path / "families.json").write_text(json.dumps([{"id": "f", "representative": "U+0041", "codepoints": ["U+0041", "U+0043"], "icons": []}]))
+    cli.main(["frequencies", "--manifest", f"{out}/m", "--glyphs", glyphs, "--pages", pages, "--all", "--size", "96", "--threshold", "0.9", "--no-gradient", "--families", str(tmp_path / "families.json"), "--output", out])
+    counted = {r.label: int(r.n) for r in spark.read.option("header", "true").csv(f"{out}/frequencies").collect()}
+    assert counted["U+0041"] == 2 and counted["U+0042"] == 1 and "U+0043" not in counted
     cli.main(["sheet", "--classes", classes, "--icons", str(tmp_path), "--output", f"{out}/sheet.html"])
     assert cli._families("U+41,0x42") == (0x41, 0x42)
     assert stats.precision(spark.read.option("header", "true").csv(f"{out}/audit").withColumn("passed", F.col("passed").cast("boolean")), "passed").first().precision == 1
