@@ -93,3 +93,19 @@ def drift(expected: DataFrame, actual: DataFrame, keys: list[str]) -> DataFrame:
     both = a.join(b, keys, "full_outer")
     change = F.when(F.col("_in_b").isNull(), "removed").when(F.col("_in_a").isNull(), "added").when(~F.col("_a").eqNullSafe(F.col("_b")), "changed")
     return both.select(*keys, change.alias("change")).where("change is not null")
+
+
+def integrity(symbols: DataFrame, actions: DataFrame) -> DataFrame:
+    """What a symbol table breaks: check, icon, detail.
+
+    A character may stand once per group and variant; what key signatures
+    insert must be known characters; every action icon needs a symbol.
+    ``symbols``: icon, group, insert, variants; ``actions``: icon, chars.
+    """
+    chars = symbols.select("icon", "group", F.explode("variants").alias("variant", "ch")).where("ch <> ''")
+    twice = chars.groupBy("group", "variant", "ch").agg(F.count("*").alias("n"), F.min("icon").alias("icon")).where("n > 1").select(F.lit("repeated").alias("check"), "icon", F.concat_ws(" ", "group", "variant", "ch").alias("detail"))
+    known = chars.select(F.explode(F.split("ch", "")).alias("c")).union(actions.select(F.explode("chars").alias("c")).select(F.explode(F.split("c", "")))).distinct()
+    keys = symbols.where("group = 'key_signature' and insert <> ''").select("icon", F.explode(F.split("insert", "")).alias("c"))
+    unknown = keys.join(known, "c", "left_anti").select(F.lit("unknown insert").alias("check"), "icon", F.col("c").alias("detail"))
+    lost = orphans(actions, symbols).select(F.lit("orphan").alias("check"), "icon", F.lit("").alias("detail"))
+    return twice.unionByName(unknown).unionByName(lost)

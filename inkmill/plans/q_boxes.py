@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkmill.functions.boxes import iou, overlap, percent_to_centre, pixels_to_percent, width_share, yolo_line
-from inkmill.operators import folds, suppress
+from inkmill.operators import folds, reading, suppress
 from inkmill.operators.layout import pair_texts
 from inkmill.plans.registry import query, table
 
@@ -204,3 +204,22 @@ def q56_width_share(spark, sf_dir):
     boxes = _boxes(spark, sf_dir).withColumns({"x1": F.col("x"), "x2": F.col("x") + F.col("w")})
     a, b = (boxes.where(f"priority {op} 50").select("page", *[F.col(k).alias(f"{p}{k}") for k in ("ord", "x1", "x2")]) for p, op in (("a", "="), ("b", "<>")))
     return a.join(b, "page").where(F.col("aord") < F.col("bord")).select("page", F.col("aord").alias("ord"), F.col("bord").alias("other"), width_share("a", "b").alias("share"))
+
+
+@query("""
+    with recursive rows as (select user_id, event_id, value, row_number() over (partition by user_id order by value, event_id) as k from events),
+    fold as (
+        select user_id, k, event_id, value, 0 as row_index, 1 as n, value as total from rows where k = 1
+        union all
+        select r.user_id, r.k, r.event_id, r.value, case when abs(r.value - total / n) <= 3 then row_index else row_index + 1 end,
+               case when abs(r.value - total / n) <= 3 then n + 1 else 1 end, case when abs(r.value - total / n) <= 3 then total + r.value else r.value end
+        from fold f join rows r on r.user_id = f.user_id and r.k = f.k + 1),
+    sides as (select user_id, row_index, case when avg(event_id) > 1000 / 2 then 'rtl' else 'ltr' end as direction from fold group by all)
+    select user_id, event_id, row_index, direction, cast(row_number() over (partition by user_id order by row_index, case when direction = 'rtl' then -event_id else event_id end) - 1 as int) as place
+    from fold join sides using (user_id, row_index)""")
+def q58_reading_order(spark, sf_dir):
+    """GRD2, AGG13, WIN11: rows, each row's direction, and the order of reading."""
+    events = table(spark, sf_dir, "events")
+    x, y = F.col("event_id").cast("double"), F.col("value")
+    boxes = events.select("user_id", F.col("event_id").alias("ord"), x.alias("x1"), x.alias("x2"), y.alias("y1"), y.alias("y2"), F.lit(1000.0).alias("width"))
+    return reading.reading_order(boxes, ["user_id"], width="width", tolerance=3.0).select("user_id", F.col("ord").alias("event_id"), "row_index", "direction", "place")

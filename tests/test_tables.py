@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from inkmill.operators import folds, islands, manifest, stats, taxonomy
+from inkmill.operators import folds, islands, manifest, reading, stats, taxonomy
 
 PAGES = "book_id string, page_number int"
 
@@ -86,13 +86,30 @@ def test_merge_overlapping_joins_the_first_match(spark):
     assert {r.id: r.band_index for r in got.collect()} == {0: 0, 1: 0, 2: 1, 3: 0, 4: 2} or {r.id: r.band_index for r in got.collect()}[4] == 2
 
 
-def test_reading_order_of_rows(spark):
-    boxes = [("top_left", 10, 10), ("top_right", 30, 10), ("bottom_left", 160, 50), ("bottom_right", 190, 50)]
-    df = spark.createDataFrame([("p", k, n, float(x), float(y)) for k, (n, x, y) in enumerate(boxes)], "page string, ord int, name string, x double, y double")
-    rows = folds.row_groups(df, ["page"], "y", ["ord"], 20.0)
-    mean = rows.groupBy("page", "row_index").agg((F.avg("x") > 100).alias("rtl"))
-    place = rows.join(mean, ["page", "row_index"]).orderBy("row_index", F.when(F.col("rtl"), -F.col("x")).otherwise(F.col("x")), "ord")
-    assert [r.name for r in place.collect()] == ["top_left", "top_right", "bottom_right", "bottom_left"]
+BOX = "page string, ord int, class_name string, x1 double, y1 double, x2 double, y2 double, width int"
+
+
+def read(spark, boxes, width=None, **kw):
+    rows = [("p", k, n, *map(float, xy), width or 0) for k, (n, *xy) in enumerate(boxes)]
+    out = reading.reading_order(spark.createDataFrame(rows, BOX), ["page"], width="width" if width is not None else None, **kw)
+    return [r.class_name for r in out.orderBy("place").collect()]
+
+
+def test_reading_order(spark):
+    assert read(spark, [("b", 90, 10, 100, 20), ("a", 10, 10, 20, 20), ("c", 40, 50, 50, 60)]) == ["a", "b", "c"]
+    pair = [("left", 10, 10, 20, 20), ("right", 90, 10, 100, 20)]
+    assert read(spark, pair, default="rtl") == ["right", "left"]
+    four = [("top_left", 10, 10, 20, 20), ("top_right", 30, 10, 40, 20), ("bottom_left", 160, 50, 170, 60), ("bottom_right", 190, 50, 200, 60)]
+    assert read(spark, four, 200) == ["top_left", "top_right", "bottom_right", "bottom_left"]
+    assert read(spark, four, 0) == ["top_left", "top_right", "bottom_left", "bottom_right"]
+    override = spark.createDataFrame([("p", 0, "rtl")], "page string, row_index int, override string")
+    assert read(spark, pair, 200, overrides=override) == ["right", "left"]
+
+
+def test_integrity(spark):
+    symbols = spark.createDataFrame([("A", "neume", "1", {"insert": "1", "long": None}), ("B", "neume", "1", {"insert": "1"}), ("K", "key_signature", "1x", {"insert": "1x"}), ("L", "key_signature", "zq", None)], "icon string, group string, insert string, variants map<string,string>")
+    actions = spark.createDataFrame([("A", ["z"]), ("Lost", None)], "icon string, chars array<string>")
+    assert sorted(map(tuple, taxonomy.integrity(symbols, actions).collect())) == [("orphan", "Lost", ""), ("repeated", "A", "neume insert 1"), ("unknown insert", "L", "q")]
 
 
 def test_nearest_breaks_ties_by_order(spark):
