@@ -205,12 +205,8 @@ def near_embeddings(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     usual = raw.where("v is not null and id is not null").groupBy(F.length("v").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
     usable = raw.where("v is not null and id is not null").where(F.length("v") == (usual[0].n if usual else -1))
     nodes = materialise(usable.groupBy("v").agg(F.min("id").alias("node"), F.count("*").alias("copies")), "nodes")
-    nodes_once = materialise(nodes.groupBy("node").agg(F.min("v").alias("v")), "nodes") if nodes.groupBy("node").count().where("count > 1").limit(1).count() else None
-    if nodes_once is not None:  # an id with several vectors: number the vectors instead
-        discard(nodes_once)
-        nodes = materialise(nodes.withColumn("least", F.col("node")).withColumn("node", F.xxhash64("v")), "nodes")
-    else:
-        nodes = nodes.withColumn("least", F.col("node"))
+    shared = nodes.groupBy("node").count().where("count > 1").limit(1).count() > 0  # an id with several vectors: number the vectors instead
+    nodes = nodes.withColumn("least", F.col("node")).withColumn("node", F.xxhash64("v") if shared else F.col("node"))
 
     graph = materialise(keep_best(first_graph(nodes, dtype, k, trees, run_rows, seed), k), "graph")
     done, recall = 0, 0.0
