@@ -164,9 +164,18 @@ def plan_mix(rows: DataFrame, weights: tuple[int, ...] = (5, 2, 1), limit: int =
     flow = min_cost_flow(patterns, whole_quotas(targets), limit)
     taken = [(k, *divmod(sum(flow[p].values()), patterns[p])) if patterns[p] else (k, 0, 0) for k, p in keys.items()]
     ends = spark.createDataFrame(taken, "_key string, passes long, rest long")
-    running = F.sum("words").over(Window.partitionBy("_key").orderBy("_bucket"))
-    last = by_bucket.join(F.broadcast(ends), "_key").withColumn("before", running - F.col("words")).where("before <= rest and rest < before + words and rest > 0")
-    last = {r._key: (r._bucket, r.before) for r in last.select("_key", "_bucket", "before").collect()}
+    def end(of: DataFrame, number: str, known: DataFrame) -> DataFrame:
+        """Where each pattern's running words, from ``start`` on, pass ``rest``: _key, rest, number, before."""
+        running = F.sum("words").over(Window.partitionBy("_key").orderBy(number))
+        joined = of.join(F.broadcast(known), "_key").withColumn("before", F.col("start") + running - F.col("words"))
+        return joined.where((F.col("before") <= F.col("rest")) & (F.col("rest") < F.col("before") + F.col("words")) & (F.col("rest") > 0)).select("_key", "rest", number, "before")
+
+    # in two steps of 2**(BUCKET_BITS / 2) numbers each, so that no window holds all buckets of a pattern
+    half = BUCKET_BITS // 2
+    coarse = by_bucket.groupBy("_key", F.shiftright("_bucket", half).alias("_coarse")).agg(F.sum("words").alias("words"))
+    first = spark.createDataFrame(end(coarse, "_coarse", ends.withColumn("start", F.lit(0))).collect(), "_key string, rest long, _coarse int, start long")
+    fine = by_bucket.withColumn("_coarse", F.shiftright("_bucket", half)).join(F.broadcast(first.select("_key", "_coarse")), ["_key", "_coarse"], "left_semi")
+    last = {r._key: (r._bucket, r.before) for r in end(fine.drop("_coarse"), "_bucket", first.drop("_coarse")).collect()}
     rows_of = [(k, passes, rest, *last.get(k, (-1, 0))) for k, passes, rest in taken]
     plan = spark.createDataFrame(rows_of, "_key string, passes long, rest long, last_bucket int, before long")
     return Mix(plan, keys, {s: (sizes[s], float(targets[s])) for s in order}, flow)
