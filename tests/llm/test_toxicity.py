@@ -3,7 +3,7 @@ from zlib import crc32
 import numpy as np
 
 from inkmill.llm.queries import QUERIES
-from inkmill.llm.toxicity import Settings, features, fit, score, train
+from inkmill.llm.toxicity import Settings, features, fit, platt, score, train
 
 
 def slow_ftrl(rows, s, size):
@@ -53,7 +53,7 @@ def test_held_out_accuracy(spark):
         assert r.held_out == (crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.5)
     held = [r for r in got if r.held_out and r.doc_id in labels]
     yes, no = ([r for r in held if labels[r.doc_id] == y] for y in (1, 0))
-    assert sum(r.predicted for r in yes) >= 0.75 * len(yes)
+    assert sum(r.predicted for r in yes) >= 0.85 * len(yes)
     assert sum(r.predicted for r in no) <= 0.01 * len(no)
 
 
@@ -64,3 +64,12 @@ def test_edge_rows(spark):
     assert len({s for i, s in got if i in (1, 2)}) == 1 and len({s for i, s in got if i == 3}) == 1
     assert {r.score < 1e-6 for r in score(docs, fit(docs, labels.limit(0))).collect()} == {True}
     assert score(docs.limit(0), fit(docs, labels)).collect() == []
+
+
+def test_platt_finds_the_log_odds():
+    rng = np.random.default_rng(2)
+    raw = rng.normal(-2, 2, 20000)
+    label = (rng.random(20000) < 1 / (1 + np.exp(-(2.5 * raw + 1)))).astype(int)
+    scale, offset = platt(raw, label)
+    assert abs(scale - 2.5) < 0.15 and abs(offset - 1) < 0.15
+    assert platt(np.array([1.0] * 5 + [-1.0] * 5), np.array([1] * 5 + [0] * 5))[0] > 0.5
