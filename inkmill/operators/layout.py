@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,15 +29,17 @@ def pair_texts(rows: DataFrame, texts: DataFrame, page: list[str], row_id: str,
     unpaired (a row is near but the next one cuts in) or non_score.
     """
     order = Window.partitionBy(*page).orderBy("y1", row_id)
-    r = rows.select(*page, row_id, F.col("y1").alias("ry1"), F.col("y2").alias("ry2"), F.lead("y1").over(order).alias("next"))
-    first = rows.groupBy(*page).agg(F.min("y1").alias("first"))
+    r = rows.select(*[F.col(p).alias(f"_r_{p}") for p in page], row_id, F.col("y1").alias("ry1"), F.col("y2").alias("ry2"), F.lead("y1").over(order).alias("next"))
+    same = reduce(lambda a, b: a & b, [F.col(p) == F.col(f"_r_{p}") for p in page])
     near = (centre("y1", "y2") > centre("ry1", "ry2")) & (F.greatest(F.lit(0), F.col("y1") - F.col("ry2")) <= reach)
-    found = texts.join(r, page).where(near).select(*page, text_id, row_id, (F.col("y1") < F.coalesce("next", height)).alias("own"))
-    pairs = found.where("own").select(*page, text_id, row_id)
-    close = found.groupBy(*page, text_id).agg(F.count("*").alias("_near"))
-    out = texts.join(first, page, "left").join(pairs, [*page, text_id], "left").join(close, [*page, text_id], "left")
-    route = F.when(F.col(row_id).isNotNull(), "lyrics").when(F.col("y1") < F.coalesce("first", height), "non_score").when(F.col("_near") > 0, "unpaired").otherwise("non_score")
-    return out.select(*page, text_id, row_id, route.alias("route"))
+    joined = texts.join(r, same & near, "left").drop(*[f"_r_{p}" for p in page])
+    joined = joined.join(rows.groupBy(*page).agg(F.min("y1").alias("first")), page, "left")
+    own = F.col(row_id).isNotNull() & (F.col("y1") < F.coalesce("next", height))
+    of_text = Window.partitionBy(*page, text_id)
+    marked = joined.withColumn("_own", own).withColumns({"_any": F.max("_own").over(of_text), "_nth": F.row_number().over(of_text.orderBy(row_id))})
+    route = F.when(F.col("_own"), "lyrics").when(F.col("y1") < F.coalesce("first", height), "non_score").when(F.col(row_id).isNotNull(), "unpaired").otherwise("non_score")
+    kept = marked.where(F.col("_own") | (~F.col("_any") & (F.col("_nth") == 1)))
+    return kept.select(*page, text_id, F.when(F.col("_own"), F.col(row_id)).alias(row_id), route.alias("route"))
 
 
 def page_bands(image: np.ndarray, least: int = 3) -> list[tuple]:
