@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,15 +33,56 @@ def grouping_frequencies(df: DataFrame, sets: list[list[str]], count: str = "n")
     return df.sparkSession.sql(f"select {', '.join(keys)}, count(*) as {count}, grouping_id({', '.join(keys)}) as gid from {view} group by grouping sets ({listed})")
 
 
-def nearest(rows: DataFrame, bases: DataFrame, page: list[str], row_id: str, base_id: str, distance: Column) -> DataFrame:
-    """JN6: each row's nearest base of the same page, ties to the smallest base id; rows of pages without a base go.
+def nearest(rows: DataFrame, bases: DataFrame, page: list[str], row_id: str, base_id: str, coords: list[str], block_rows: int = 50_000) -> DataFrame:
+    """JN6: each row's nearest base of the same page by L1 distance, ties to the smallest base id: page, row id, base id, distance.
 
-    ``rows`` and ``bases`` share only the page columns. The join is by page; a
-    row keeps one candidate through the aggregation, so no page is collected.
+    Both tables have the ``coords`` columns, without nulls; ids are whole numbers; rows of
+    pages without a base go. One shuffle of rows and bases; a page's bases meet
+    its rows in arrays, so no pair is ever a row. Pages of over ``block_rows``
+    rows are split, and their bases sent to each part.
     """
-    joined = rows.join(bases, page).withColumn("_d", distance)
-    best = F.min(F.struct(F.col("_d").alias("distance"), F.col(base_id).alias(base_id)))
-    return joined.groupBy(*page, row_id).agg(best.alias("_best")).select(*page, row_id, f"_best.{base_id}", "_best.distance")
+    sizes = rows.groupBy(*page).agg(F.ceil(F.count("*") / block_rows).cast("int").alias("_parts"))
+    point = [F.col(c).cast("double").alias(c) for c in coords]
+    left = rows.select(*page, F.col(row_id).cast("long").alias("_id"), *point).join(sizes, page).withColumns({"_part": F.pmod(F.xxhash64("_id"), F.col("_parts")).cast("int"), "_side": F.lit(1)})
+    right = bases.select(*page, F.col(base_id).cast("long").alias("_id"), *point).join(sizes, page).withColumns({"_part": F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)), "_side": F.lit(0)})
+    columns = [*page, "_part", "_side", "_id", *coords]
+    both = left.select(*columns).unionByName(right.select(*columns))
+    n = len(page)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, ids, points, ready = None, [], [], None
+        for batch in batches:
+            keys = list(zip(*(batch.column(i).to_pylist() for i in range(n + 1)), strict=True))
+            side, own = batch.column(n + 1).to_pylist(), batch.column(n + 2).to_pylist()
+            place = np.column_stack([batch.column(n + 3 + k).to_numpy(zero_copy_only=False) for k in range(len(coords))]) if keys else np.empty((0, len(coords)))
+            found, far = np.full(len(keys), -1, np.int64), np.zeros(len(keys))
+            has, at = np.zeros(len(keys), bool), 0
+            while at < len(keys):
+                if keys[at] != key:
+                    key, ids, points, ready = keys[at], [], [], None
+                stop = at + 1
+                while stop < len(keys) and keys[stop] == key and side[stop] == side[at]:
+                    stop += 1
+                if side[at] == 0:
+                    ids += own[at:stop]
+                    points.append(place[at:stop])
+                elif ids:
+                    ready = (np.array(ids), np.concatenate(points)) if ready is None else ready
+                    step = max(1, 2_000_000 // len(ids))
+                    for k in range(at, stop, step):
+                        end = min(stop, k + step)
+                        d = sum(np.abs(place[k:end, c, None] - ready[1][None, :, c]) for c in range(len(coords)))
+                        best = d.argmin(axis=1)
+                        found[k:end], far[k:end], has[k:end] = ready[0][best], d[np.arange(end - k), best], True
+                at = stop
+            out = [*batch.columns[:n], batch.column(n + 2), pa.array(found), pa.array(far)]
+            yield pa.RecordBatch.from_arrays(out, [*page, row_id, base_id, "distance"]).filter(pa.array(has))
+
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    schema = ", ".join([*[f"`{p}` {kinds[p]}" for p in page], f"`{row_id}` long, `{base_id}` long, distance double"])
+    sorted_ = both.repartition(*page, "_part").sortWithinPartitions(*page, "_part", "_side", "_id")
+    out = sorted_.mapInArrow(run, schema)
+    return out.withColumns({row_id: F.col(row_id).cast(kinds[row_id]), base_id: F.col(base_id).cast(bases.schema[base_id].dataType)})
 
 
 def fold_families(counts: DataFrame, known: DataFrame, families: DataFrame, key: str, count: str) -> DataFrame:

@@ -33,10 +33,9 @@ def q04_grouping_sets(spark, sf_dir):
 
 def _nearest_clicks(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
-    rows = events.where("event_type = 'purchase'").select("user_id", "event_id", F.col("value").alias("v"))
-    bases = events.where("event_type = 'click'").select("user_id", F.col("event_id").alias("base_id"), F.col("value").alias("bv"))
-    far = F.abs(F.col("v") - F.col("bv")) + F.abs(F.col("event_id") - F.col("base_id"))
-    return stats.nearest(rows, bases, ["user_id"], "event_id", "base_id", far)
+    rows = events.where("event_type = 'purchase'").select("user_id", "event_id", "value", F.col("event_id").alias("y"))
+    bases = events.where("event_type = 'click'").select("user_id", F.col("event_id").alias("base_id"), "value", F.col("event_id").alias("y"))
+    return stats.nearest(rows, bases, ["user_id"], "event_id", "base_id", ["value", "y"])
 
 
 _NEAREST = """

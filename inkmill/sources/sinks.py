@@ -214,10 +214,9 @@ def label_config(classes: DataFrame) -> str:
 def label_statistics(boxes: DataFrame) -> dict[str, DataFrame]:
     """AGG1-AGG4, JN6: the four statistics tables of label boxes."""
     rows = boxes.withColumn("box", F.struct("page_id", "number"))
-    base = rows.where("group = 'base_neume'").select("book_id", "page_id", F.col("number").alias("base"), F.col("icon").alias("base_icon"), F.col("x_center").alias("bx"), F.col("y_center").alias("by"))
+    base = rows.where("group = 'base_neume'").select("book_id", "page_id", F.col("number").alias("base"), F.col("icon").alias("base_icon"), "x_center", "y_center")
     mark = rows.where(F.col("group").startswith("modifier_")).select("book_id", "page_id", "number", "x_center", "y_center")
-    far = F.abs(F.col("x_center") - F.col("bx")) + F.abs(F.col("y_center") - F.col("by"))
-    near = nearest(mark, base, ["book_id", "page_id"], "number", "base", far)
+    near = nearest(mark, base, ["book_id", "page_id"], "number", "base", ["x_center", "y_center"])
     named = near.join(base.select("book_id", "page_id", "base", "base_icon"), ["book_id", "page_id", "base"]).join(rows.select("book_id", "page_id", "number", F.col("icon").alias("modifier_icon")), ["book_id", "page_id", "number"])
     return {
         "frequency": frequencies(rows, ["class_name", "group", "icon"], count="count", share="percentage"),

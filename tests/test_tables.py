@@ -112,11 +112,20 @@ def test_integrity(spark):
     assert sorted(map(tuple, taxonomy.integrity(symbols, actions).collect())) == [("orphan", "Lost", ""), ("repeated", "A", "neume insert 1"), ("unknown insert", "L", "q")]
 
 
-def test_nearest_breaks_ties_by_order(spark):
-    rows = spark.createDataFrame([("p", 1, 5.0), ("p", 2, 9.0), ("q", 3, 1.0)], "page string, id int, v double")
-    bases = spark.createDataFrame([("p", 8, 4.0), ("p", 7, 6.0)], "page string, base int, b double")
-    got = stats.nearest(rows, bases, ["page"], "id", "base", F.abs(F.col("v") - F.col("b"))).collect()
-    assert sorted((r.id, r.base, r.distance) for r in got) == [(1, 7, 1.0), (2, 7, 3.0)]
+@pytest.mark.parametrize("block_rows", [1, 7, 50_000])
+def test_nearest_against_a_loop(spark, block_rows):
+    rng = random.Random(block_rows)
+    rows = [(rng.choice("pqr"), k, rng.randint(0, 9), float(rng.randint(0, 9))) for k in range(80)]
+    bases = [(rng.choice("pq"), k, rng.randint(0, 9), float(rng.randint(0, 9))) for k in range(40)]
+    want = set()
+    for page, k, x, y in rows:
+        near = [(abs(x - a) + abs(y - b), j) for p, j, a, b in bases if p == page]
+        if near:
+            want.add((page, k, min(near)[1], min(near)[0]))
+    left, right = spark.createDataFrame(rows, "page string, id int, x int, y double"), spark.createDataFrame(bases, "page string, base long, x int, y double")
+    got = stats.nearest(left, right, ["page"], "id", "base", ["x", "y"], block_rows)
+    assert set(map(tuple, got.collect())) == want and got.dtypes == [("page", "string"), ("id", "int"), ("base", "bigint"), ("distance", "double")]
+    assert stats.nearest(left, right.limit(0), ["page"], "id", "base", ["x", "y"]).collect() == []
 
 
 def test_fold_families(spark):
