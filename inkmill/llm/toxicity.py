@@ -127,16 +127,28 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rows = same_or_null(docs, id_col, text_col).toDF("id", "text").join(F.broadcast(known), "id").select("id", "label", "h", "text", F.pmod("h", F.lit(shards)).alias("shard"))
 
     def shard_model(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {}
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                label, text, shard = (c.to_pylist() for c in batch.slice(at, 256).columns)
-                for y, t, k in zip(label, text, shard, strict=True):
-                    held.setdefault(k, []).append((features(t, s).astype(np.int32), y))
-        for shard, of in sorted(held.items()):
+        now, of = None, []
+
+        def model() -> pa.RecordBatch:
             bias, idx, w = train_calibrated(of, s)
-            yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([bias], pa.float64()), pa.array([idx], pa.list_(pa.int64())), pa.array([w], pa.list_(pa.float64()))], ["shard", "bias", "idx", "w"])
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int64()), pa.array([bias], pa.float64()), pa.array([idx], pa.list_(pa.int64())), pa.array([w], pa.list_(pa.float64()))], ["shard", "bias", "idx", "w"])
 
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                label, text, shard = (c.to_pylist() for c in batch.slice(at, 64).columns)
+                for y, t, k in zip(label, text, shard, strict=True):
+                    if k != now and of:
+                        yield model()
+                        of = []
+                    now = k
+                    of.append((features(t, s).astype(np.int32), y))
+        if of:
+            yield model()
+
+    # keys that the hash sends to partitions of their own, so that no task holds two shards while another holds none
+    numbers = spark.range(64 * shards).select("id", F.pmod(F.hash("id"), F.lit(shards)).alias("p")).groupBy("p").agg(F.min("id").alias("id")).orderBy("p").collect()
+    keys = F.array(*[F.lit(r.id) for r in numbers])
+    rows = rows.withColumn("shard", F.element_at(keys, (F.col("shard") % len(numbers) + 1).cast("int")))
     ready = rows.repartition(shards, "shard").sortWithinPartitions("shard", "h", "id", "text").select("label", "text", "shard")
     models = ready.mapInArrow(shard_model, "shard long, bias double, idx array<long>, w array<double>").collect()
     total = np.zeros(1 << s.bits)
