@@ -136,3 +136,14 @@ def test_similar_groups_edge_rows(spark):
     got = sorted((str(r.id), r.component_id) for r in similar_groups(docs).collect())
     assert got == [("2", 2), ("3", 3), ("4", 4), ("5", 2), ("6", 6), ("7", 6), ("9", 2), ("9", 2), ("None", 2)]
     assert similar_groups(docs.limit(0)).collect() == []
+
+
+def test_the_exact_similarity_decides(spark):
+    rows, want = [], {}
+    for k in range(240):
+        tail = (25, 27)[k % 2]  # 200 of 250 shingles are shared, exactly 0.8; or 200 of 254
+        for side in "ab":
+            rows.append((len(rows), " ".join([f"c{k}x{i}" for i in range(204)] + [f"{side}{k}x{i}" for i in range(tail)])))
+        want |= {2 * k: 2 * k, 2 * k + 1: 2 * k + k % 2}
+    got = {r.id: r.component_id for r in similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i: c for i, c in got.items() if c != want[i]} == {}
