@@ -16,8 +16,8 @@ pattern is tied to its least holder, so emission is linear in the group.
 ``similar_groups`` groups by the similarity of the shingle sets instead. Texts
 of similarity 0.8 differ in about ten of 64 bits, where no pair of segments
 need be equal; there, texts that share one of their smallest shingle hashes
-meet, a one-permutation sketch and a wide distance prune them, and the shingle
-sets themselves decide.
+meet, a one-permutation sketch prunes them, and the shingle sets themselves
+decide.
 """
 
 from __future__ import annotations
@@ -175,10 +175,10 @@ def within_ring(x: np.ndarray, max_distance: int, segments: int = 8) -> np.ndarr
     return ok.any(axis=1)
 
 
-def _forest(ids: np.ndarray, fps: np.ndarray, sketches: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, similarity: float, max_distance: int) -> list[tuple[int, int]]:
+def _forest(ids: np.ndarray, sketches: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, similarity: float) -> list[tuple[int, int]]:
     """Edges that leave connected what is similar between two lists of places; places already connected are not compared.
 
-    Set sizes, sketches and the distance only prune; the sets decide. The
+    Set sizes and sketches only prune; the sets decide. The
     sketch's bar is five of its standard errors under ``similarity``; an error
     is that of twice the variance of as many draws as there are bins or
     shingles, since few shingles leave bins that are copies.
@@ -191,7 +191,7 @@ def _forest(ids: np.ndarray, fps: np.ndarray, sketches: np.ndarray, sets: list[n
     for i in left:
         others = right[group[right] != group[i]]
         low, high = np.minimum(sizes[others], sizes[i]), np.maximum(sizes[others], sizes[i])
-        fits = (low >= similarity * high - 1e-6) & (np.bitwise_count(fps[others] ^ fps[i]) <= max_distance)
+        fits = low >= similarity * high - 1e-6
         others, low = others[fits], low[fits]
         bar = similarity - 5 * np.sqrt(similarity * (1 - similarity) * 2 / np.minimum(np.maximum(low, 1), sketches.shape[1]))
         others = others[(sketches[others] == sketches[i]).mean(axis=1) >= bar]
@@ -210,16 +210,17 @@ def _forest(ids: np.ndarray, fps: np.ndarray, sketches: np.ndarray, sets: list[n
     return edges
 
 
-def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, width: int = 5, max_distance: int = 24, anchors: int = 4, block_rows: int = 4096, block_shingles: int = 4_000_000) -> DataFrame:
+def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, width: int = 5, anchors: int = 4, block_rows: int = 4096, block_shingles: int = 4_000_000) -> DataFrame:
     """Group texts whose ``width``-word shingle sets are similar, links chained: id, fp, component_id.
 
-    Every text brings its SimHash, its ``anchors`` smallest shingle hashes, a
-    sketch of 256 bins and its set of shingle hashes. Texts that share an
+    Every text brings its SimHash (of its set of shingles, repeats counted
+    once), its ``anchors`` smallest shingle hashes, a sketch of 256 bins and
+    its set of shingle hashes. Texts that share an
     anchor meet, in blocks of about ``block_rows`` rows or ``block_shingles``
     hashes that are compared a pair of blocks at a time; what a block emits is
-    a forest, so emission is linear whatever the size of a group. Sketches and
-    fingerprints prune generously, and the exact similarity of the sets
-    decides. Texts with equal sets are copies. Null, empty and blank texts are
+    a forest, so emission is linear whatever the size of a group. Set
+    sizes and sketches prune generously, fingerprints do not prune at all, and
+    the exact similarity of the sets decides. Texts with equal sets are copies. Null, empty and blank texts are
     copies of each other. Rows with a null id label nothing and have their
     group's label; repeated rows, extra columns and empty tables are as in
     ``simhash_groups``.
@@ -233,33 +234,32 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def mark(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
         for text in batch.column(1).to_pylist():
-            h = shingle_hashes(text, width)
-            own = np.unique(h)
-            out.append((_bits(h), scheme.packed(scheme.from_hashes(own)), own[:anchors].view(np.int64).tolist() or [0], len(own), xxh3_128_digest(own.tobytes()), own.tobytes()))
+            own = np.unique(shingle_hashes(text, width))
+            out.append((_bits(own), scheme.packed(scheme.from_hashes(own)), own[:anchors].view(np.int64).tolist() or [0], len(own), xxh3_128_digest(own.tobytes()), own.tobytes()))
         kinds = (pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.int32(), pa.binary(), pa.binary())
         columns = [pa.array(x, kind) for x, kind in zip(zip(*out, strict=True), kinds, strict=True)]
         return pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), *columns], ["id", "fp", "sketch", "anchors", "size", "digest", "shingles"])
 
     marked = materialise(map_batches(same_or_null(docs, id_col, text_col), mark, "id long, fp long, sketch binary, anchors array<long>, size int, digest binary, shingles binary"), "marks")
-    facts = F.min_by(F.struct("fp", "sketch", "anchors", "size"), "fp")
+    facts = F.first(F.struct("fp", "sketch", "anchors", "size"))
     nodes = materialise(marked.groupBy("digest").agg(F.min("id").alias("rep"), facts.alias("x")).select("digest", "rep", "x.*"), "nodes")
-    held = nodes.where("rep is not null").select("digest", "rep", "fp", "sketch", "size", F.explode("anchors").alias("anchor"))
+    held = nodes.where("rep is not null").select("digest", "rep", "sketch", "size", F.explode("anchors").alias("anchor"))
     sizes = held.groupBy("anchor").agg(F.count("*").alias("n"), F.sum("size").alias("all")).where("n > 1")
     blocks = F.greatest(F.ceil(F.col("n") / block_rows), F.ceil(F.col("all") / block_shingles)).cast("int")
     met = held.join(sizes.select("anchor", blocks.alias("blocks")), "anchor").withColumn("own", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
-    met = materialise(met.select("anchor", "blocks", "own", "digest", "rep", "fp", "sketch"), "met")
+    met = materialise(met.select("anchor", "blocks", "own", "digest", "rep", "sketch"), "met")
     sets = marked.select("digest", "shingles").join(met.select("digest").distinct(), "digest", "left_semi").groupBy("digest").agg(F.first("shingles").alias("shingles"))
     spread = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    sent = spread.join(sets, "digest").select("anchor", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "digest", "rep", "fp", "sketch", "shingles")
+    sent = spread.join(sets, "digest").select("anchor", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "digest", "rep", "sketch", "shingles")
 
     def compare(batches):
         key, group = None, []
 
         def edges() -> list[tuple[int, int]]:
-            own, ids, fps = np.array([r[0] for r in group]), np.array([r[2] for r in group]), np.array([r[3] for r in group], np.int64).view(np.uint64)
-            sketches = np.frombuffer(b"".join(r[4] for r in group), np.uint8).reshape(len(group), -1)
+            own, ids = np.array([r[0] for r in group]), np.array([r[2] for r in group])
+            sketches = np.frombuffer(b"".join(r[3] for r in group), np.uint8).reshape(len(group), -1)
             left, right = (np.nonzero(own == k)[0] for k in key[1:])
-            return _forest(ids, fps, sketches, [np.frombuffer(r[5], np.uint64) for r in group], left, right, similarity, max_distance)
+            return _forest(ids, sketches, [np.frombuffer(r[4], np.uint64) for r in group], left, right, similarity)
 
         for batch in batches:
             found = []

@@ -147,3 +147,12 @@ def test_the_exact_similarity_decides(spark):
         want |= {2 * k: 2 * k, 2 * k + 1: 2 * k + k % 2}
     got = {r.id: r.component_id for r in similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert {i: c for i, c in got.items() if c != want[i]} == {}
+
+
+def test_repeated_lines_count_once(spark):
+    rows = []
+    for k in range(20):
+        line, rest = " ".join(f"l{k}x{i}" for i in range(12)) + " ", " ".join(f"r{k}x{i}" for i in range(600))
+        rows += [(2 * k, line * 2 + rest), (2 * k + 1, line * 300 + rest + " more")]
+    got = {r.id: r.component_id for r in similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i - i % 2 for i, _ in rows}
