@@ -5,8 +5,10 @@ nodes by random-hyperplane codes, several times, and comparing each run of
 ``run_rows`` consecutive nodes; runs are of equal length whatever the data.
 Rounds of NN-descent then compare the neighbours of a node, forward and
 reverse, with each other, and keep each node's best k. A sample of nodes
-compared with every vector audits the recall; below the target, lists grow and
-rounds go on. Edges at or over the threshold are the links.
+compared with every vector audits the recall node by node; below the target,
+lists grow and rounds go on. Where rounds run out, or links are too rare for a
+sample to vouch for, all nodes are compared exactly in blocks. Edges at or over
+the threshold are the links.
 
 A node whose whole list is over the threshold is saturated. Its list is then
 enlarged to its whole component, in blocks that are compared exactly, so no
@@ -141,31 +143,72 @@ def descend(graph: DataFrame, nodes: DataFrame, dtype: str, k: int) -> DataFrame
     return members.repartition("w").sortWithinPartitions("w").mapInArrow(local, _PAIR)
 
 
-def audit(graph: DataFrame, nodes: DataFrame, dtype: str, threshold: float, k: int, sample: int, seed: int) -> float:
-    """Share of a sample's links that the lists hold, a list of k links counting as complete. Exact: the sample meets every vector."""
-    chosen = nodes.orderBy(F.xxhash64(F.lit(seed), "node"), "node").limit(sample).select("node", "v").collect()
-    if not chosen:
-        return 1.0
-    ids, raw = np.array([r.node for r in chosen]), [bytes(r.v) for r in chosen]
+def audit(found: DataFrame, dtype: str, threshold: float, sample: int, seed: int, enough: int = 300) -> float | None:
+    """Mean share of a node's links that were found, over sampled nodes with links; the lesser of listed nodes' and whole components'.
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        queries, total = _unit(raw, dtype), np.zeros(len(ids), np.int64)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                rows = batch.slice(at, 2048)
-                total += (queries @ _unit(rows.column(1).to_pylist(), dtype).T >= threshold).sum(1)
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], ["node", "n"])
-
-    true = nodes.select("node", "v").mapInArrow(count, "node long, n long").groupBy("node").agg((F.sum("n") - 1).alias("n"))
-    links = graph.where(F.col("sim") >= threshold)
-    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().groupBy("a").agg(F.count("*").alias("f"))
-    seen = true.join(both, true["node"] == both["a"], "left")
-    want, got = seen.agg(F.sum(F.least("n", F.lit(k))), F.sum(F.least("n", F.lit(k), F.coalesce("f", F.lit(0))))).first()
-    return 1.0 if not want else got / want
+    ``found``: node, v, copies, n (links found), whole (n is from a whole
+    component). Exact: sampled nodes meet every vector. Slices of about
+    ``sample`` nodes are added until ``enough`` listed nodes with links are
+    seen. None where that would take more than a quarter of the nodes, as
+    comparing all of them is then little more work.
+    """
+    slices = max(1, -(-found.count() // sample))
+    place, tested, tally = F.pmod(F.xxhash64(F.lit(seed), "node"), F.lit(slices)), 0, {}
+    step = 1
+    while tested < slices:
+        chosen = found.where(place.between(tested, tested + step - 1)).select("node", "v", "copies", "n", "whole").collect()
+        tested += step
+        if chosen:
+            ids, raw = np.array([r.node for r in chosen]), [bytes(r.v) for r in chosen]
+
+            def count(batches: Iterator[pa.RecordBatch], ids=ids, raw=raw) -> Iterator[pa.RecordBatch]:
+                queries, total = _unit(raw, dtype), np.zeros(len(ids), np.int64)
+                for batch in batches:
+                    for at in range(0, batch.num_rows, 2048):
+                        rows = batch.slice(at, 2048)
+                        other, copies = rows.column(0).to_numpy(), rows.column(2).to_numpy()
+                        unit = _unit(rows.column(1).to_pylist(), dtype)
+                        for q in range(0, len(ids), 2048):
+                            linked = (queries[q : q + 2048] @ unit.T >= threshold) & (ids[q : q + 2048, None] != other)
+                            total[q : q + 2048] += linked @ copies
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], ["node", "n"])
+
+            true = dict(found.select("node", "v", "copies").mapInArrow(count, "node long, n long").groupBy("node").agg(F.sum("n")).collect())
+            for x in chosen:
+                if true[x.node]:
+                    tally.setdefault(x.whole, []).append(min(x.n, true[x.node]) / true[x.node])
+        seen = len(tally.get(False, []))
+        if seen >= enough:
+            break
+        step = min(16, slices - tested, max(1, -(-(enough - seen) * tested // max(seen, 1))))
+        if tested < slices and (tested + step) * 4 > slices:
+            return None
+    return min((float(np.mean(x)) for x in tally.values()), default=1.0)
 
 
 def _whole_counts(members: DataFrame, dtype: str, threshold: float, block_rows: int) -> DataFrame:
     """(node, n): links of each node within its component, by exact comparison in blocks. ``members``: component, node, v, copies."""
+    return _exact(members, dtype, threshold, block_rows).where("b is null").groupBy("node").agg(F.sum("n").alias("n"))
+
+
+def _spanning(linked: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (rows, columns) of true cells that leave connected what the cells connect, fewer than rows and columns together."""
+    rows, columns = linked.any(1), linked.any(0)
+    while rows.any():
+        front = np.array([rows.argmax()])
+        rows[front] = False
+        while len(front):
+            new = np.nonzero(linked[front].any(0) & columns)[0]
+            columns[new] = False
+            yield front[linked[np.ix_(front, new)].argmax(0)] if len(new) else new, new
+            after = np.nonzero(linked[:, new].any(1) & rows)[0]
+            rows[after] = False
+            yield after, new[linked[np.ix_(after, new)].argmax(1)] if len(after) else after
+            front = after
+
+
+def _exact(members: DataFrame, dtype: str, threshold: float, block_rows: int, forest: bool = False) -> DataFrame:
+    """(node, b, n): link counts by block with b null; with ``forest`` also links (node, b) that leave connected what is linked."""
     sizes = members.groupBy("component").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
     placed = members.join(sizes, "component").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     sent = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "v", "copies")
@@ -174,7 +217,7 @@ def _whole_counts(members: DataFrame, dtype: str, threshold: float, block_rows:
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
         own, ids = np.array(table.column("own").to_pylist()), np.array(table.column("node").to_pylist())
         copies, unit = np.array(table.column("copies").to_pylist()), _unit(table.column("v").to_pylist(), dtype)
-        n = np.zeros(len(ids), np.int64)
+        n, ends = np.zeros(len(ids), np.int64), [(ids[:0], ids[:0])]
         for left, right in {(i, j), (j, i)}:
             a, b = np.nonzero(own == left)[0], np.nonzero(own == right)[0]
             for at in range(0, len(a), 1024):
@@ -183,9 +226,34 @@ def _whole_counts(members: DataFrame, dtype: str, threshold: float, block_rows:
                 if i == j:
                     linked[np.arange(len(rows)), at + np.arange(len(rows))] = False
                 n[rows] += linked @ copies[b]
-        return pa.table({"node": pa.array(ids), "n": pa.array(n)})
+                if forest and left <= right:
+                    ends += [(ids[rows[p]], ids[b[q]]) for p, q in _spanning(linked)]
+        p, q = map(np.concatenate, zip(*ends, strict=True))
+        none = pa.nulls(len(ids), pa.int64())
+        return pa.table({"node": pa.array(np.concatenate([ids, p]), pa.int64()), "b": pa.concat_arrays([none, pa.array(q, pa.int64())]), "n": pa.array(np.concatenate([n, np.zeros(len(p), np.int64)]))})
 
-    return sent.groupBy("component", "i", "j").applyInArrow(count, "node long, n long").groupBy("node").agg(F.sum("n").alias("n"))
+    return sent.groupBy("component", "i", "j").applyInArrow(count, "node long, b long, n long")
+
+
+def _round(graph: DataFrame, nodes: DataFrame, dtype: str, k: int) -> DataFrame:
+    after = materialise(keep_best(graph.unionByName(descend(graph, nodes, dtype, k)), k), "graph")
+    discard(graph)
+    return after
+
+
+def _found(graph: DataFrame, nodes: DataFrame, dtype: str, threshold: float, k: int, block_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Nodes with n (links to other nodes' vectors) and whole (counted in its whole component); the components."""
+    links = graph.where(F.col("sim") >= threshold).select("a", "b")
+    roots = materialise(connected_components(links), "roots")
+    full = links.groupBy("a").count().where(F.col("count") >= k).join(roots, F.col("a") == F.col("node")).select("component").distinct()
+    sizes = nodes.select("node", "copies")
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    listed = both.join(sizes, both["b"] == sizes["node"]).groupBy("a").agg(F.sum("copies").alias("listed")).withColumnRenamed("a", "node")
+    members = roots.join(full, "component").join(nodes, "node").select("component", "node", "v", "copies")
+    whole = _whole_counts(members, dtype, threshold, block_rows).withColumnRenamed("n", "whole")
+    counted = nodes.join(listed, "node", "left").join(whole, "node", "left")
+    found = counted.select(*nodes.columns, F.coalesce("whole", "listed", F.lit(0)).alias("n"), F.col("whole").isNotNull().alias("whole"))
+    return materialise(found, "found"), roots
 
 
 def near_embeddings(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = 0.9, k: int = 12, trees: int = 4, run_rows: int = 512, rounds: int = 2, max_rounds: int = 6, target: float = 0.99, sample: int = 1000, block_rows: int = 2048, seed: int = 8) -> DataFrame:
@@ -209,27 +277,27 @@ def near_embeddings(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     nodes = nodes.withColumn("least", F.col("node")).withColumn("node", F.xxhash64("v") if shared else F.col("node"))
 
     graph = materialise(keep_best(first_graph(nodes, dtype, k, trees, run_rows, seed), k), "graph")
-    done, recall = 0, 0.0
-    while done < rounds or (recall < target and done < max_rounds):
-        if done >= rounds:
-            k *= 2
-        after = materialise(keep_best(graph.unionByName(descend(graph, nodes, dtype, k)), k), "graph")
-        discard(graph)
-        graph, done = after, done + 1
-        recall = audit(graph, nodes, dtype, threshold, k, sample, seed) if done >= rounds else 0.0
-
-    links = graph.where(F.col("sim") >= threshold).select("a", "b")
-    roots = materialise(connected_components(links), "roots")
-    full = links.groupBy("a").count().where(F.col("count") >= k).join(roots, F.col("a") == F.col("node")).select("component").distinct()
-    sizes = nodes.select("node", "copies")
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    listed = both.join(sizes, both["b"] == sizes["node"]).groupBy("a").agg(F.sum("copies").alias("n")).select(F.col("a").alias("node"), "n")
-    members = roots.join(full, "component").join(nodes, "node").select("component", "node", "v", "copies")
-    whole = _whole_counts(members, dtype, threshold, block_rows)
-
-    counted = nodes.join(roots, "node", "left").join(listed.withColumnRenamed("n", "listed"), "node", "left").join(whole.withColumnRenamed("n", "whole"), "node", "left")
+    for _ in range(rounds):
+        graph = _round(graph, nodes, dtype, k)
+    done = rounds
+    while True:
+        found, roots = _found(graph, nodes, dtype, threshold, k, block_rows)
+        recall = audit(found, dtype, threshold, sample, seed)
+        if recall is not None and recall >= target:
+            break
+        discard(found, roots)
+        if recall is None or done >= max_rounds:  # no list can be vouched for: compare all
+            exact = materialise(_exact(nodes.withColumn("component", F.lit(0)), dtype, threshold, block_rows, forest=True), "exact")
+            roots = materialise(connected_components(exact.where("b is not null").select(F.col("node").alias("a"), "b")), "roots")
+            found = exact.where("b is null").groupBy("node").agg(F.sum("n").alias("n")).join(nodes, "node")
+            recall = 1.0
+            break
+        k *= 2
+        graph, done = _round(graph, nodes, dtype, k), done + 1
+
+    counted = found.join(roots, "node", "left")
     group = F.coalesce("component", "node")
-    facts = counted.select("v", "least", group.alias("g"), (F.coalesce("whole", "listed", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    facts = counted.select("v", "least", group.alias("g"), (F.col("n") + F.col("copies") - 1).alias("n_links"))
     least = facts.groupBy("g").agg(F.min("least").alias("component_id"))
     facts = facts.join(least, "g").select("v", "n_links", "component_id")
     linked = usable.join(facts, "v").select("id", "n_links", "component_id")

@@ -57,3 +57,13 @@ def test_edge_rows(spark):
     assert near_embeddings(table.limit(0)).collect() == []
     two = spark.createDataFrame([(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [0.0, 2.0])], "vec_id long, embedding array<double>")
     assert sorted((r.id, r.n_links, r.component_id) for r in near_embeddings(two).collect()) == [(1, 0, 1), (1, 1, 1), (2, 1, 1)]
+
+
+def test_a_dense_group_hides_no_lost_pair(spark):
+    rng = np.random.default_rng(6)
+    hot = rng.standard_normal(32) + 0.1 * rng.standard_normal((300, 32))
+    lone = rng.standard_normal((1500, 32))
+    vecs = np.concatenate([hot, lone, lone[:100] + 0.4 * rng.standard_normal((100, 32))]).astype(np.float32).tolist()
+    table = spark.createDataFrame(list(enumerate(vecs)), "vec_id long, embedding array<float>")
+    got = near_embeddings(table, k=4, trees=1, run_rows=8).collect()
+    assert {r.id: (r.n_links, r.component_id) for r in got} == brute(range(len(vecs)), vecs)
