@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkmill.operators.work import discard, materialise
+from inkmill.operators.work import discard, materialise, scoped
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -26,7 +26,8 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select(F.col("m").alias("a"), "b")).distinct()
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+@scoped
+def connected_components(edges: DataFrame) -> DataFrame:
     """Label the nodes of an undirected graph.
 
     ``edges``: columns a, b (long). Loops, repeated edges, both directions and
@@ -38,14 +39,12 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     low, high = F.least("a", "b"), F.greatest("a", "b")
     clean = edges.where("a is not null and b is not null and a <> b").select(low.alias("a"), high.alias("b")).distinct()
     now, mark = materialise(clean, "edges"), None
-    for _ in range(max_rounds):
+    while True:  # the stars' sums of labels fall with every round until they settle
         after = materialise(_small_star(_large_star(now)), "edges")
         n, checksum = after.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         discard(now)
         now, before, mark = after, mark, (n, checksum)
         if mark == before:
             break
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = now.groupBy("b").agg(F.min("a").alias("component")).select(F.col("b").alias("node"), "component")
     return roots.unionByName(now.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())

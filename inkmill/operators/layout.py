@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from inkmill.functions import kernels
 from inkmill.functions.boxes import centre, is_modifier, is_notation, is_text, overlap, width_share
 from inkmill.operators.folds import merge_bands, merge_overlapping
-from inkmill.operators.work import materialise
+from inkmill.operators.work import materialise, scoped
 
 _BAND = "page string, page_width int, page_height int, direction string, x1 int, y1 int, x2 int, y2 int, n int, long int, long_width int, ink double"
 _COUNTS = ("n", "long", "long_width")
@@ -98,6 +98,7 @@ def _renamed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select("page", "page_height", *[F.col(c).alias(f"{prefix}{c}") for c in ("id", "x1", "y1", "x2", "y2", *_COUNTS, "ink", "notation", "text")])
 
 
+@scoped
 def layout(found: DataFrame) -> DataFrame:
     """JN19: the nested layout of every page (D7) from its bands.
 
@@ -160,6 +161,7 @@ def layout(found: DataFrame) -> DataFrame:
     return out.select("page", "page_width", "page_height", F.col("direction").alias("notation_direction"), F.coalesce("chant_rows", none).alias("chant_rows"), F.coalesce("unpaired_lyric_rows", empty).alias("unpaired_lyric_rows"), F.coalesce("non_score_regions", empty).alias("non_score_regions"))
 
 
+@scoped
 def segment(pages: DataFrame, direction: str = "ltr", least: int = 3) -> DataFrame:
     """Layout of page images; the pixels are read in one map, and only bands are joined."""
     return layout(materialise(bands(pages, direction, least), "found"))

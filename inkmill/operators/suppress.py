@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkmill.functions.boxes import iou
-from inkmill.operators.work import discard, materialise
+from inkmill.operators.work import discard, materialise, scoped
 
 
 def complex_order(priority: str = "priority", score: str = "score") -> list[Column]:
@@ -61,14 +61,13 @@ def suppress(boxes: DataFrame, page: list[str], order: list[Column], tie: list[s
     return boxes.repartition(*page).sortWithinPartitions(*page, *order, *tie).mapInArrow(run, boxes.schema)
 
 
-def suppress_by_rounds(boxes: DataFrame, page: list[str], order: list[Column], tie: list[str], threshold: float, max_rounds: int = 100) -> DataFrame:
+@scoped
+def suppress_by_rounds(boxes: DataFrame, page: list[str], order: list[Column], tie: list[str], threshold: float) -> DataFrame:
     """The same result by joins alone: each round keeps the boxes without a better undecided overlap and drops what these overlap."""
     rank = F.row_number().over(Window.partitionBy(*page).orderBy(*order, *tie))
     open_, kept = materialise(boxes.withColumn("_rank", rank), "boxes"), None
     pairs = None
-    for _ in range(max_rounds):
-        if open_.limit(1).count() == 0:
-            break
+    while open_.limit(1).count():  # every round decides each page's best open box at least
         a, b = (open_.select(*page, *[F.col(c).alias(f"{p}{c}") for c in ("x", "y", "w", "h", "_rank")]) for p in ("a", "b"))
         pairs = a.join(b, page).where((F.col("a_rank") < F.col("b_rank")) & (iou("a", "b") >= threshold))
         pairs = materialise(pairs.select(*page, F.col("a_rank").alias("better"), F.col("b_rank").alias("_rank")), "pairs")
@@ -77,6 +76,4 @@ def suppress_by_rounds(boxes: DataFrame, page: list[str], order: list[Column], t
         rest = materialise(open_.join(stay, [*page, "_rank"], "left_anti").join(gone, [*page, "_rank"], "left_anti"), "boxes")
         discard(open_, pairs)
         kept, open_ = stay if kept is None else kept.unionByName(stay), rest
-    else:
-        raise RuntimeError(f"suppression did not settle in {max_rounds} rounds")
     return (open_ if kept is None else kept).drop("_rank")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from inkmill.functions.boxes import audit_passed
 from inkmill.functions.text import GLYPH_RANGES, in_ranges, local_file_url, parse_assignments, parse_codepoint, parse_page_ranges
 from inkmill.operators import annotate, layout, manifest, matching, shapes, stats, taxonomy, validate
-from inkmill.operators.work import broadcast_if_small
+from inkmill.operators.work import broadcast_if_small, materialise, materialise
 from inkmill.sources import files, sinks
 
 #: Sizes and limits that the tools use unless told otherwise.
@@ -68,8 +68,6 @@ def match(a) -> None:
     limits = spark.createDataFrame([(k, float(t), p) for k, (t, p) in ({} if a.no_icon_thresholds else ICON_LIMITS | {k: (v, 10) for k, v in parse_assignments(a.icon_threshold).items()}).items()], "icon string, threshold double, priority int")
     by_group = stats.group_limits(names.select(F.col("id").alias("group_id"), F.explode_outer("icons").alias("icon")), limits, a.threshold, 10)
     hits = matching.match_groups(files.page_images(spark, a.pages, a.book, a.limit), made, {r.group_id: (r.threshold, 10 if a.score_only_nms else r.priority) for r in sinks.rows_of(by_group)}, a.threshold, a.iou, complex_first=not a.no_complex_first)
-    from inkmill.operators.work import materialise
-
     hits = materialise(hits, "matches")
     sinks.write_json(sinks.groups_json(groups, found, _icons(spark, a).groupBy("key").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "icon"))), lambda x: x["icon"]).alias("icons"))), f"{a.output}/groups.json", "groups")
     sinks.write_json(sinks.matches_json(hits), f"{a.output}/matches.json", "pages")
@@ -104,7 +102,8 @@ def families(a) -> None:
     grouped = labelled.groupBy(F.col("cluster").alias("representative")).agg(F.array_sort(F.collect_list("id")).alias("members"))
     out = shapes.numbered(grouped, F.element_at("members", 1))
     sinks.write_json(out, f"{a.output}/families.json")
-    sinks.write_text(spark, f"{a.output}/families.html", sinks.family_report(out, shapes.similar_pairs(found, 0.0) if a.heat_map else None))
+    charted = out.select(F.col("id").alias("family"), F.posexplode("members").alias("pos", "id")).orderBy("family", "pos").limit(sinks.HEAT_MEMBERS).select("id")
+    sinks.write_text(spark, f"{a.output}/families.html", sinks.family_report(out, shapes.similar_pairs(found.join(F.broadcast(charted), "id", "left_semi"), 0.0) if a.heat_map else None))
 
 
 def propose(a) -> None:

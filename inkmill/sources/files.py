@@ -108,6 +108,10 @@ def frequency_pages(manifest: DataFrame, sample: int | None = None, seed: str =
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """SRC8: a manifest CSV with typed columns; missing ones are null but for ink_ratio (1.0) and direction (ltr)."""
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    store = place(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(place(path)) and store.exists(place(path + ".next/_SUCCESS")):  # a writer stopped between two renames
+        path += ".next"
     raw = spark.read.option("header", "true").csv(path)
     columns = []
     for name, kind in (c.split() for c in schemas.MANIFEST.split(", ")):

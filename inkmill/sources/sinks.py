@@ -56,14 +56,24 @@ def write_json(df: DataFrame, path: str, key: str | None = None, extra: dict | N
 
 
 def write_manifest(spark: SparkSession, path: str, new: DataFrame) -> None:
-    """SNK1: upsert pages into a manifest folder; the new version is complete before the old one goes."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    """SNK1: upsert pages into a manifest folder.
+
+    The new version is complete beside the old one before the old one is moved
+    away; where a crash leaves no manifest at its path, readers find the new one.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    target, fresh, old = place(path), place(path + ".next"), place(path + ".old")
     store = target.getFileSystem(spark._jsc.hadoopConfiguration())
     columns = [c.split()[0] for c in schemas.MANIFEST.split(", ")]
-    rows = upsert(read_manifest(spark, path), new.select(*columns), ["book_id", "page_number"]) if store.exists(target) else new.select(*columns)
-    rows.orderBy("book_id", "page_number").write.mode("overwrite").option("header", "true").csv(path + ".next")
-    store.delete(target, True)
-    store.rename(spark._jvm.org.apache.hadoop.fs.Path(path + ".next"), target)
+    rows = upsert(read_manifest(spark, path), new.select(*columns), ["book_id", "page_number"]) if store.exists(target) or store.exists(place(path + ".next/_SUCCESS")) else new.select(*columns)
+    rows.orderBy("book_id", "page_number").write.mode("overwrite").option("header", "true").csv(path + ".new")
+    store.delete(fresh, True)
+    store.rename(place(path + ".new"), fresh)
+    store.delete(old, True)
+    if store.exists(target):
+        store.rename(target, old)
+    store.rename(fresh, target)
+    store.delete(old, True)
 
 
 def write_pages(rendered: DataFrame) -> None:
@@ -144,7 +154,11 @@ def frequency_report(table: DataFrame) -> tuple[str, str]:
     return f"<!doctype html><meta charset=utf-8><h2>Found</h2><table>{parts[0]}</table><h2>Not found</h2><table>{parts[1]}</table>", console
 
 
-def family_report(families: DataFrame, pairs: DataFrame | None = None, heat: int = 80) -> str:
+#: Members that a similarity map shows.
+HEAT_MEMBERS = 80
+
+
+def family_report(families: DataFrame, pairs: DataFrame | None = None, heat: int = HEAT_MEMBERS) -> str:
     """SNK11: families as HTML, with a similarity map of the first ``heat`` members if pairs (a, b, sim) are given."""
     rows = rows_of(families.orderBy("id"))
     out = ["<!doctype html><meta charset=utf-8><ul>", *(f"<li>{r.id}: {' '.join(f'U+{k:04X}' for k in r.members)}</li>" for r in rows), "</ul>"]
