@@ -143,4 +143,5 @@ def rows_in(df: DataFrame, keys: DataFrame, on: list[str], keep: bool = True, li
     """
     keys = keys.select(*on)
     small = keys.limit(limit + 1).count() <= limit
-    return df.join(F.broadcast(keys) if small else keys.hint("merge"), on, "left_semi" if keep else "left_anti")
+    found = df.join(F.broadcast(keys) if small else keys.hint("merge"), on, "left_semi" if keep else "left_anti")
+    return found.select(*[F.col(f"`{c}`") for c in df.columns])
