@@ -14,7 +14,7 @@ joined with the answers; no task holds the whole model.
 
 from __future__ import annotations
 
-import uuid
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkmill.llm.work import broadcast_if_small, discard, materialise, same_or_null
+from inkmill.llm.work import broadcast_if_small, discard, materialise, rows_in, same_or_null, scoped
 
 PAD = 2  # U+0002 stands before a text's first character
 _NUL = 0xFFFD  # takes the place of U+0000 in n-grams
@@ -57,14 +57,14 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, lang_col: str, block_cha
                     if chars[lang] >= block_chars:
                         yield block(lang)
                         chars[lang] = 0
+                    elif sum(chars.values()) >= 2 * block_chars:  # many languages at once: put out the largest
+                        most = max(chars, key=chars.get)
+                        yield block(most)
+                        chars[most] = 0
         for lang in sorted(held):
             yield block(lang)
 
-    name = f"inkmill_blocks_{uuid.uuid4().hex}"
-    same_or_null(docs, id_col, text_col, lang_col).mapInArrow(run, _BLOCK).write.bucketBy(buckets, "block").sortBy("block").saveAsTable(name)
-    table = docs.sparkSession.table(name)
-    table.inkmill_name = name
-    return table
+    return materialise(same_or_null(docs, id_col, text_col, lang_col).mapInArrow(run, _BLOCK), "blocks", buckets, "block")
 
 
 def grams(codes: np.ndarray, order: int) -> tuple[list[np.ndarray], np.ndarray]:
@@ -221,6 +221,7 @@ def perplexities(table: DataFrame, requests: DataFrame, values: DataFrame, order
     return table.groupBy("block").cogroup(answers.groupBy("at")).applyInArrow(kernel, "id long, lang string, n_chars long, perplexity double")
 
 
+@scoped
 def score_perplexity(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", order: int = 4, block_chars: int = 6_000_000, buckets: int | None = None) -> DataFrame:
     """Perplexity per character of every text under the model of the trusted ones.
 
@@ -236,28 +237,44 @@ def score_perplexity(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id"
     requests = materialise(block_grams(table, trusted, order), "grams")
     values = model(requests.where("n > 0"), order)
     scored = materialise(perplexities(table, requests, values, order), "perplexity")
-    discard(requests, values)
-    spark.sql(f"drop table {table.inkmill_name}")
+    discard(table, requests, values)
     return scored
 
 
-def classify(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", order: int = 4, spread: float = 4.0, least: int = 20) -> DataFrame:
+@scoped
+def classify(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", order: int = 4, level: float = 0.999995, least: int = 20) -> DataFrame:
     """Judge every text by its perplexity: id, lang, perplexity, threshold, keep.
 
     Four fifths of the trusted ids (by CRC-32) train the model; the rest, which
-    it has not seen, set each language's threshold: with m and q the median and
-    the 95 % quantile of their log perplexities, exp(q + spread * (q - m)).
-    Languages with fewer than ``least`` such texts take the threshold of all
-    languages together; without any, all is kept. Texts without characters are
-    kept. Nulls, repeats and empty tables are as in ``score_perplexity``.
+    it has not seen, set each language's threshold: the quantile ``level`` of
+    their log perplexities. So high a quantile lies beyond any sample's end, so
+    it is carried on from the language's median and 95 % quantile by an
+    exponential tail. A language with fewer than ``least`` such texts has its
+    own median and the pooled distance of the languages' texts from their
+    medians; one without any takes the quantiles of all languages together;
+    without any at all, all is kept. Texts without characters are kept. Nulls,
+    repeats and empty tables are as in ``score_perplexity``.
     """
     trusted = trusted.select("id").where("id is not null").distinct().withColumn("held", F.crc32(F.col("id").cast("string")) % 5 == 0)
     scored = score_perplexity(docs, trusted.where("not held"), id_col, text_col, lang_col, order)
-    held = scored.where("perplexity is not null").join(trusted.where("held"), "id").withColumn("log", F.log("perplexity"))
+    held = materialise(scored.where("perplexity is not null").join(trusted.where("held"), "id").select("lang", F.log("perplexity").alias("log")), "held")
+    steps = math.log(0.5 / (1 - level), 10)  # of the distance from median to 95 % quantile; an exponential tail loses nine tenths with each
     quantiles = F.percentile_approx("log", F.array(F.lit(0.5), F.lit(0.95)), F.lit(10000))
-    fence = F.exp(F.col("q")[1] + spread * (F.col("q")[1] - F.col("q")[0]))
-    by_lang = held.groupBy("lang").agg(quantiles.alias("q"), F.count("*").alias("n")).where(F.col("n") >= least).select("lang", fence.alias("own"))
-    overall = held.agg(quantiles.alias("q")).select(fence.alias("overall"))
-    out = scored.join(broadcast_if_small(by_lang), "lang", "left").crossJoin(F.broadcast(overall))
-    threshold = F.coalesce("own", "overall")
-    return out.select("id", "lang", "perplexity", threshold.alias("threshold"), F.coalesce(F.col("perplexity") <= threshold, F.lit(True)).alias("keep"))
+    by_lang = materialise(held.groupBy("lang").agg(quantiles.alias("q"), F.count("*").alias("n")).select("lang", "n", F.col("q")[0].alias("median"), (F.col("q")[1] - F.col("q")[0]).alias("own")), "quantiles")
+    apart = held.join(broadcast_if_small(by_lang), "lang").agg(F.percentile_approx(F.col("log") - F.col("median"), F.lit(0.95), F.lit(10000)).alias("pooled"))
+    overall = held.agg(quantiles.alias("q")).select((F.col("q")[0] + steps * (F.col("q")[1] - F.col("q")[0])).alias("overall"))
+    out = scored.join(broadcast_if_small(by_lang), "lang", "left").crossJoin(F.broadcast(apart)).crossJoin(F.broadcast(overall))
+    threshold = F.exp(F.coalesce(F.col("median") + steps * F.when(F.col("n") >= least, F.col("own")).otherwise(F.col("pooled")), "overall"))
+    return out.withColumn("threshold", threshold).select("id", "lang", "perplexity", "threshold", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)).alias("keep"))
+
+
+@scoped
+def without_rejected(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **settings) -> DataFrame:
+    """The rows of ``docs`` that ``classify`` keeps, all columns.
+
+    An id under which any text is rejected goes with all its rows; rows with a
+    null id stay.
+    """
+    judged = classify(docs, trusted, id_col, text_col, lang_col, **settings)
+    rejected = materialise(judged.where("not keep and id is not null").select(F.col("id").alias(id_col)).distinct(), "rejected")
+    return rows_in(docs, rejected, [id_col], keep=False)

@@ -22,12 +22,14 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkmill.llm.work import materialise, same_or_null
+from inkmill.llm.work import materialise, same_or_null, scoped
 
 #: A word: a run of anything but space and the five ASCII controls 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
 MAX_PATTERNS = 20_000
 BUCKET_BITS = 14
+#: Decided rows of last buckets that are sent to the scan; beyond, they meet their rows in a join.
+MAX_CHOSEN = 200_000
 
 
 def water_fill(sizes: dict, weights: dict, limit: int) -> dict:
@@ -55,55 +57,71 @@ def whole_quotas(targets: dict) -> dict:
     return quotas
 
 
+def _augment(heads: list[list[int]], arcs: list[list[int]]) -> None:
+    """Raise the flow from node 0 to node 1 to its maximum by blocking flows in layers; arcs are [to, capacity left], reverse at index ^ 1."""
+    while True:
+        layer = [-1] * len(heads)
+        layer[0], queue = 0, deque([0])
+        while queue:
+            a = queue.popleft()
+            for i in heads[a]:
+                b, capacity = arcs[i]
+                if capacity and layer[b] < 0:
+                    layer[b] = layer[a] + 1
+                    queue.append(b)
+        if layer[1] < 0:
+            return
+        tried, path = [0] * len(heads), []
+        while True:
+            a = arcs[path[-1]][0] if path else 0
+            if a == 1:
+                amount = min(arcs[i][1] for i in path)
+                for i in path:
+                    arcs[i][1] -= amount
+                    arcs[i ^ 1][1] += amount
+                path = path[: next(k for k, i in enumerate(path) if not arcs[i][1])]
+                continue
+            while tried[a] < len(heads[a]):
+                i = heads[a][tried[a]]
+                if arcs[i][1] and layer[arcs[i][0]] == layer[a] + 1:
+                    path.append(i)
+                    break
+                tried[a] += 1
+            else:
+                if not path:
+                    break
+                tried[arcs[path.pop() ^ 1][0]] += 1
+
+
 def min_cost_flow(patterns: dict[tuple, int], quotas: dict, limit: int) -> dict[tuple, dict]:
     """Words routed from each pattern to each of its sources.
 
-    The k-th pass over a pattern costs (k-1)^2 a word, so costs are convex;
-    shortest augmenting paths fill the quotas as far as ``limit`` passes allow.
+    The k-th pass over a pattern costs (k-1)^2 a word, so costs are convex.
+    Only the arcs that open a pass cost anything, and no path comes back to
+    where it began, so a path costs what its first arc costs: a cheapest flow
+    fills the quotas as far as first passes go, then from there as far as
+    second passes go, and so on up to ``limit``.
     """
     names = ["from", "to", *patterns, *[("source", s) for s in quotas]]
     number = {n: i for i, n in enumerate(names)}
     heads: list[list[int]] = [[] for _ in names]
-    arcs: list[list[int]] = []  # to, capacity left, cost; the reverse arc is at index ^ 1
+    arcs: list[list[int]] = []
 
-    def arc(a: int, b: int, capacity: int, cost: int) -> None:
+    def arc(a: int, b: int, capacity: int) -> int:
         heads[a].append(len(arcs))
-        arcs.append([b, capacity, cost])
+        arcs.append([b, capacity])
         heads[b].append(len(arcs))
-        arcs.append([a, 0, -cost])
+        arcs.append([a, 0])
+        return len(arcs) - 2
 
-    routes = {}
-    for p, words in patterns.items():
-        for k in range(limit):
-            arc(0, number[p], words, k * k)
-        for s in p:
-            routes[p, s] = len(arcs)
-            arc(number[p], number["source", s], limit * words, 0)
+    opened = {p: arc(0, number[p], 0) for p in patterns}
+    routes = {(p, s): arc(number[p], number["source", s], limit * words) for p, words in patterns.items() for s in p}
     for s, quota in quotas.items():
-        arc(number["source", s], 1, quota, 0)
-    while True:
-        cost, by, queue, waits = [None] * len(names), [0] * len(names), deque([0]), {0}
-        cost[0] = 0
-        while queue:
-            a = queue.popleft()
-            waits.discard(a)
-            for i in heads[a]:
-                b, capacity, c = arcs[i]
-                if capacity and (cost[b] is None or cost[a] + c < cost[b]):
-                    cost[b], by[b] = cost[a] + c, i
-                    if b not in waits:
-                        waits.add(b)
-                        queue.append(b)
-        if cost[1] is None:
-            break
-        path, b = [], 1
-        while b:
-            path.append(by[b])
-            b = arcs[by[b] ^ 1][0]
-        amount = min(arcs[i][1] for i in path)
-        for i in path:
-            arcs[i][1] -= amount
-            arcs[i ^ 1][1] += amount
+        arc(number["source", s], 1, quota)
+    for _ in range(limit):
+        for p, words in patterns.items():
+            arcs[opened[p]][1] += words
+        _augment(heads, arcs)
     flow: dict[tuple, dict] = {p: {} for p in patterns}
     for (p, s), i in routes.items():
         flow[p][s] = arcs[i ^ 1][1]
@@ -126,9 +144,16 @@ def _pattern(source: Column, is_array: bool) -> Column:
 
 
 def marked(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
-    """row (the whole row as a struct), id, _key (pattern), _size (words), _hash and _bucket; nothing is shuffled."""
+    """row (the whole row as a struct), id, _key (pattern), _size (words), _hash and _bucket; nothing is shuffled.
+
+    The seeded hash is over all columns, so only rows that are equal throughout share it.
+    """
     is_array = docs.schema[source_col].dataType.typeName() == "array"
-    h = F.xxhash64(F.lit(seed), F.col(f"`{id_col}`"), F.when(F.col(f"`{id_col}`").isNull(), F.col(f"`{text_col}`")))
+    parts = [F.lit(seed)]
+    for field in docs.schema.fields:
+        value = F.col(f"`{field.name}`")
+        parts += [value.isNull(), F.array_sort(F.map_entries(value)) if field.dataType.typeName() == "map" else value]
+    h = F.xxhash64(*parts)
     return docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         F.col(f"`{id_col}`").alias("id"),
@@ -195,6 +220,16 @@ def select_documents(rows: DataFrame, mix: Mix) -> DataFrame:
     return sure.unionByName(edge).drop("passes", "rest", "last_bucket", "before")
 
 
+def whole_documents(rows: DataFrame, mix: Mix) -> DataFrame:
+    """(_key, _hash) of the rows of the last buckets that one more pass takes: those of which it takes half the words or more."""
+    edge = rows.join(F.broadcast(mix.patterns), "_key").where(F.col("_bucket") == F.col("last_bucket"))
+    alike = edge.groupBy("_key", "_hash", "rest", "before").agg(F.sum("_size").alias("words")).where("words > 0")
+    order = Window.partitionBy("_key").orderBy("_hash").rowsBetween(Window.unboundedPreceding, -1)
+    part = F.least(F.col("words"), F.col("rest") - F.col("before") - F.coalesce(F.sum("words").over(order), F.lit(0)))
+    return alike.withColumn("part", part).where("part > 0 and 2 * part >= words").select("_key", "_hash")
+
+
+@scoped
 def mix_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (5, 2, 1), limit: int = 3, seed: int = 20) -> DataFrame:
     """Words the mix takes of every document: id, size, source_size, target, taken, copies.
 
@@ -202,10 +237,10 @@ def mix_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     source_size and target are then those of the first source). A null source,
     an empty array and a null in an array are one source of their own, last in
     order. A null text has size 0 and gives 0 words. Rows with equal ids are
-    taken each on their own; with a null id, the text seeds the choice. Every
-    source takes exactly its target, to the word, so one document of a pattern
-    may be taken in part; ``copies`` rounds that part to whole documents. Extra
-    columns are ignored; an empty table gives an empty table.
+    taken each on their own. Every source takes exactly its target, to the
+    word, so one document of a pattern may be taken in part; ``copies`` rounds
+    that part to whole documents. Extra columns are ignored; an empty table
+    gives an empty table.
     """
     rows = marked(same_or_null(docs, id_col, text_col, source_col), id_col, text_col, source_col, seed).drop("row")
     mix = plan_mix(rows := materialise(rows, "sizes"), weights, limit)
@@ -215,9 +250,26 @@ def mix_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     return out.select("id", F.col("_size").alias("size"), "source_size", "target", "taken", "copies")
 
 
+@scoped
 def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (5, 2, 1), limit: int = 3, seed: int = 20) -> DataFrame:
-    """The mixed documents themselves, each row of ``docs`` as often as the mix takes it (0 to ``limit`` times), all columns kept."""
+    """The mixed documents themselves, each row of ``docs`` as often as the mix takes it (0 to ``limit`` times), all columns kept.
+
+    Words are counted once, at a first scan; the second only hashes the rows to
+    look up what was decided, and shuffles no text as long as the rows of the
+    last buckets (about one in 2**BUCKET_BITS) that are taken are few enough to
+    be sent to it. Rows that are equal throughout are taken alike.
+    """
     rows = marked(docs, id_col, text_col, source_col, seed)
-    mix = plan_mix(rows.select("_key", "_size", "_bucket"), weights, limit)
-    chosen = select_documents(rows, mix).where("copies > 0")
-    return chosen.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
+    sizes = materialise(rows.select("_key", "_size", "_hash", "_bucket"), "sizes")
+    mix = plan_mix(sizes, weights, limit)
+    chosen = materialise(whole_documents(sizes, mix), "chosen")
+    planned = rows.select("row", "_key", "_hash", "_bucket").join(F.broadcast(mix.patterns), "_key")
+    more = F.col("_bucket") < F.col("last_bucket")
+    if chosen.limit(MAX_CHOSEN + 1).count() <= MAX_CHOSEN:
+        found = planned.join(F.broadcast(chosen.withColumn("_one", F.lit(True))), ["_key", "_hash"], "left")
+    else:  # only rows of the last buckets meet the choices by key
+        edge = F.col("_bucket") == F.col("last_bucket")
+        found = planned.where(~edge).withColumn("_one", F.lit(False)).unionByName(planned.where(edge).join(chosen.withColumn("_one", F.lit(True)).hint("merge"), ["_key", "_hash"], "left"))
+    more = more | F.coalesce("_one", F.lit(False))
+    taken = found.select("row", (F.col("passes") + more.cast("int")).alias("copies")).where("copies > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkmill.llm.work import materialise, same_or_null
+from inkmill.llm.work import materialise, same_or_null, scoped
 
 #: Longest run of white space that goes through the rank encoder, whose matcher recurses on such runs.
 _LONG_SPACE = re.compile(r"\s{4096}")
@@ -116,60 +116,77 @@ def pieces(tokens: DataFrame, window: int = 1024, with_ids: bool = False) -> Dat
     return tokens.select("part", "id", "doc_tokens", "local_start", "ids").mapInArrow(run, schema)
 
 
+_PIECE = pa.struct([("id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("offset", pa.int64())])
+
+
 def sequences(tokens: DataFrame, window: int = 1024, pad_id: int = 0) -> DataFrame:
-    """The packed windows: sequence_id, n_tokens (without padding), ids array<long>.
+    """The packed windows: sequence_id, n_tokens (without padding), ids array<int>, pieces array<struct<id, start, length, offset>>.
 
     Windows that a run of consecutive rows fills are complete at once; the
-    fragments at a run's ends are joined by sequence_id. The last window is
-    padded to ``window``, except where its length is a power of two.
+    fragments at a run's ends are boundary records that are joined by
+    sequence_id. The last window is padded to ``window``, except where its
+    length is a power of two.
     """
     offsets = part_offsets(tokens)
 
+    def padded(raw: bytes) -> np.ndarray:
+        ids = np.frombuffer(raw, "<u4")
+        n = len(ids)
+        return np.append(ids, np.full(window - n if n & (n - 1) else 0, pad_id, np.uint32)).view(np.int32)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, at = np.empty(0, np.uint32), None  # ids not yet put out, and the global offset of the first
-
-        def cut(last: bool) -> pa.RecordBatch:
-            nonlocal held, at
-            found = []
-            while len(held) and (last or len(held) >= window - at % window):
-                n = min(len(held), window - at % window)
-                found.append((at // window, at % window, held[:n].astype("<u4").tobytes()))
-                held, at = held[n:], at + n
-            a, b, c = zip(*found, strict=True) if found else ((), (), ())
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.binary())], ["sequence_id", "offset", "ids"])
+        now, size, pieces, raw = None, 0, [], []  # the fragment that grows: its window, its ids so far
+
+        def fragment() -> tuple:
+            return now, pieces[0][3], pieces, b"".join(raw)
+
+        def batch_of(found: list[tuple]) -> pa.RecordBatch:
+            a, b, c, d = zip(*found, strict=True) if found else ((), (), (), ())
+            columns = [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.list_(_PIECE)), pa.array(d, pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, ["sequence_id", "offset", "pieces", "ids"])
 
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
-                part, _, _, start_of, raw = (c.to_pylist() for c in batch.slice(i, 256).columns)
-                run_of = [held]
-                for p, local, ids in zip(part, start_of, raw, strict=True):
+                found = []
+                part, docs, sizes, start_of, all_ids = (c.to_pylist() for c in batch.slice(i, 256).columns)
+                for p, doc, total, local, ids in zip(part, docs, sizes, start_of, all_ids, strict=True):
                     first = offsets[p] + local
-                    if at is None or first != at + sum(map(len, run_of)):
-                        held = np.concatenate(run_of)
-                        yield cut(last=True)
-                        run_of, at = [], first
-                    run_of.append(np.frombuffer(ids, "<u4"))
-                held = np.concatenate(run_of) if run_of else held
-                yield cut(last=False)
-        if at is not None:
-            yield cut(last=True)
+                    cuts = [0, *range(window - first % window, total, window), total]
+                    for x, y in zip(cuts, cuts[1:], strict=False):
+                        at, offset = divmod(first + x, window)
+                        if pieces and (at != now or offset != pieces[0][3] + size):
+                            found.append(fragment())
+                            size, pieces, raw = 0, [], []
+                        now = at
+                        pieces.append((doc, x, y - x, offset))
+                        raw.append(ids[4 * x : 4 * y])
+                        size += y - x
+                yield batch_of(found)
+        if pieces:
+            yield batch_of([fragment()])
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for parts in batch.column(1).to_pylist():
-                ids = np.frombuffer(b"".join(x["ids"] for x in sorted(parts, key=lambda x: x["offset"])), "<u4")
-                n = len(ids)
-                out.append((n, np.append(ids, np.full(window - n if n & (n - 1) else 0, pad_id, np.uint32)).astype(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([n for n, _ in out], pa.int64()), pa.array([x for _, x in out], pa.list_(pa.int64()))], ["sequence_id", "n_tokens", "ids"])
+            parts = [sorted(x, key=lambda x: x["offset"]) for x in batch.column(1).to_pylist()]
+            raw = [b"".join(x["ids"] for x in of) for of in parts]
+            pieces = [[y for x in of for y in x["pieces"]] for of in parts]
+            columns = [batch.column(0), pa.array([len(x) // 4 for x in raw], pa.int32()), pa.array(map(padded, raw), pa.list_(pa.int32())), pa.array(pieces, pa.list_(_PIECE))]
+            yield pa.RecordBatch.from_arrays(columns, ["sequence_id", "n_tokens", "ids", "pieces"])
+
+    kind = "pieces array<struct<id:long,start:long,length:long,offset:long>>"
+    cuts = materialise(tokens.select("part", "id", "doc_tokens", "local_start", "ids").mapInArrow(run, f"sequence_id long, offset long, {kind}, ids binary"), "windows")
+    whole = cuts.where(F.length("ids") == 4 * window).select("sequence_id", F.array(F.struct("offset", "pieces", "ids")).alias("parts"))
+    ends = cuts.where(F.length("ids") < 4 * window).groupBy("sequence_id").agg(F.collect_list(F.struct("offset", "pieces", "ids")).alias("parts"))
+    return whole.unionByName(ends).mapInArrow(join, f"sequence_id long, n_tokens int, ids array<int>, {kind}")
+
 
-    cuts = tokens.select("part", "id", "doc_tokens", "local_start", "ids").mapInArrow(run, "sequence_id long, offset long, ids binary")
-    cuts = materialise(cuts, "windows")
-    whole = cuts.where(F.length("ids") == 4 * window).select("sequence_id", F.array(F.struct("offset", "ids")).alias("parts"))
-    ends = cuts.where(F.length("ids") < 4 * window).groupBy("sequence_id").agg(F.collect_list(F.struct("offset", "ids")).alias("parts"))
-    return whole.unionByName(ends).mapInArrow(join, "sequence_id long, n_tokens long, ids array<long>")
+@scoped
+def pack_sequences(docs: DataFrame, id_col: str, text_col: str, tokenizer_json: str, ranks_file: str | None = None, window: int = 1024, end_id: int = 0) -> DataFrame:
+    """The windows themselves, as ``sequences`` gives them; nulls, repeats and empty tables are as in ``pack``."""
+    return sequences(tokenised(docs, id_col, text_col, tokenizer_json, ranks_file, end_id), window)
 
 
+@scoped
 def pack(docs: DataFrame, id_col: str, text_col: str, tokenizer_json: str, ranks_file: str | None = None, window: int = 1024, end_id: int = 0) -> DataFrame:
     """Pieces of every document in windows of ``window`` ids, without padding but in the last.
 

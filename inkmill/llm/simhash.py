@@ -16,8 +16,8 @@ pattern is tied to its least holder, so emission is linear in the group.
 ``similar_groups`` groups by the similarity of the shingle sets instead. Texts
 of similarity 0.8 differ in about ten of 64 bits, where no pair of segments
 need be equal; there, texts that share one of their smallest shingle hashes
-meet, a one-permutation sketch prunes them, and the shingle sets themselves
-decide.
+meet, the running budgets, the whole distance and a one-permutation sketch
+prune them, and the shingle sets themselves decide.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkmill.llm.work import map_batches, materialise, same_or_null
+from inkmill.llm.work import map_batches, materialise, rows_in, same_or_null, scoped
 from inkmill.operators.graph import connected_components
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -148,6 +148,7 @@ def _masks(segments: int) -> list[int]:
     return out
 
 
+@scoped
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, max_distance: int = 2) -> DataFrame:
     """Fingerprint every text and group what lies within ``max_distance`` bits, links chained.
 
@@ -165,117 +166,213 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return marked.join(labels, "fp").select("id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def within_ring(x: np.ndarray, max_distance: int, segments: int = 8) -> np.ndarray:
-    """The running budgets over xor-ed fingerprints (uint64): some start keeps every run within its proportional share."""
-    d = np.bitwise_count(x[:, None].view(np.uint8)).astype(np.int16) if segments == 8 else np.stack([np.bitwise_count((x >> np.uint64(lo)) & np.uint64((1 << (hi - lo)) - 1)) for lo, hi in _bounds(segments)], axis=1).astype(np.int16)
+def within_ring(x: np.ndarray, max_distance: int) -> np.ndarray:
+    """The running budgets over xor-ed fingerprints (uint64) in eight segments: some start keeps every run within its proportional share."""
+    d = np.bitwise_count(np.ascontiguousarray(x)[:, None].view(np.uint8)).astype(np.int16)
     run, ok = np.zeros_like(d), np.ones(d.shape, bool)
-    for n in range(1, segments + 1):
+    for n in range(1, 9):
         run = run + np.roll(d, -(n - 1), axis=1)
-        ok &= run <= n * max_distance // segments
+        ok &= run <= n * max_distance // 8
     return ok.any(axis=1)
 
 
-def _forest(ids: np.ndarray, sketches: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, similarity: float) -> list[tuple[int, int]]:
-    """Edges that leave connected what is similar between two lists of places; places already connected are not compared.
+def _forest(ids: np.ndarray, left: np.ndarray, right: np.ndarray, near) -> list[tuple[int, int]]:
+    """Edges that leave connected what ``near`` ties between two lists of places; places already connected are not compared.
 
-    Set sizes and sketches only prune; the sets decide. The
-    sketch's bar is five of its standard errors under ``similarity``; an error
-    is that of twice the variance of as many draws as there are bins or
-    shingles, since few shingles leave bins that are copies.
+    ``near(i, others, group)`` yields those of the places ``others`` that are near place i.
     """
-    sizes = np.array([len(x) for x in sets])
-    codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
-    starts = np.cumsum(sizes) - sizes
-    parts = [codes[a : a + n] for a, n in zip(starts.tolist(), sizes.tolist(), strict=True)]
-    held, group, edges = np.zeros(len(codes) + 1, bool), np.arange(len(ids)), []
+    group, edges = np.arange(len(ids)), []
     for i in left:
-        others = right[group[right] != group[i]]
-        low, high = np.minimum(sizes[others], sizes[i]), np.maximum(sizes[others], sizes[i])
-        fits = low >= similarity * high - 1e-6
-        others, low = others[fits], low[fits]
-        bar = similarity - 5 * np.sqrt(similarity * (1 - similarity) * 2 / np.minimum(np.maximum(low, 1), sketches.shape[1]))
-        others = others[(sketches[others] == sketches[i]).mean(axis=1) >= bar]
-        if not len(others):
-            continue
-        held[parts[i]] = True
-        for j in others:
-            if group[i] == group[j]:
-                continue
-            both = int(np.count_nonzero(held[parts[j]]))
-            whole = int(sizes[i] + sizes[j]) - both
-            if not whole or both / whole >= similarity:
+        for j in near(i, right[group[right] != group[i]], group):
+            if group[i] != group[j]:
                 group[group == group[j]] = group[i]
                 edges.append((int(ids[i]), int(ids[j])))
-        held[parts[i]] = False
     return edges
 
 
-def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, width: int = 5, anchors: int = 4, block_rows: int = 4096, block_shingles: int = 4_000_000) -> DataFrame:
-    """Group texts whose ``width``-word shingle sets are similar, links chained: id, fp, component_id.
+def _loosely(fps: np.ndarray, sketches: np.ndarray, sizes: np.ndarray, similarity: float, max_distance: int):
+    """Near by what is small to hold: set sizes, SimHash within its running budgets and distance, and the sketch.
 
-    Every text brings its SimHash (of its set of shingles, repeats counted
-    once), its ``anchors`` smallest shingle hashes, a sketch of 256 bins and
-    its set of shingle hashes. Texts that share an
-    anchor meet, in blocks of about ``block_rows`` rows or ``block_shingles``
-    hashes that are compared a pair of blocks at a time; what a block emits is
-    a forest, so emission is linear whatever the size of a group. Set
-    sizes and sketches prune generously, fingerprints do not prune at all, and
-    the exact similarity of the sets decides. Texts with equal sets are copies. Null, empty and blank texts are
-    copies of each other. Rows with a null id label nothing and have their
-    group's label; repeated rows, extra columns and empty tables are as in
-    ``simhash_groups``.
+    All are generous. The sketch's bar is five of its standard errors under
+    ``similarity``; an error is that of twice the variance of as many draws as
+    there are bins or shingles, since few shingles leave bins that are copies.
+    The SimHash of a set of under 64 shingles varies too much to prune.
     """
-    from xxhash import xxh3_128_digest
 
-    from inkmill.llm.minhash import OnePermutation
+    def near(i, others, group):
+        low, high = np.minimum(sizes[others], sizes[i]), np.maximum(sizes[others], sizes[i])
+        fits = low >= similarity * high - 1e-6
+        others, low = others[fits], low[fits]
+        few, x = low < 64, fps[others] ^ fps[i]
+        fits = few.copy()
+        fits[~few] = within_ring(x[~few], max_distance) & (np.bitwise_count(x[~few]) <= max_distance)
+        others, low = others[fits], low[fits]
+        bar = similarity - 5 * np.sqrt(similarity * (1 - similarity) * 2 / np.minimum(np.maximum(low, 1), sketches.shape[1]))
+        return others[(sketches[others] == sketches[i]).mean(axis=1) >= bar].tolist()
 
-    scheme = OnePermutation(bin_bits=8, low_bits=8, width=width)
+    return near
 
-    def mark(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = []
-        for text in batch.column(1).to_pylist():
-            own = np.unique(shingle_hashes(text, width))
-            out.append((_bits(own), scheme.packed(scheme.from_hashes(own)), own[:anchors].view(np.int64).tolist() or [0], len(own), xxh3_128_digest(own.tobytes()), own.tobytes()))
-        kinds = (pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.int32(), pa.binary(), pa.binary())
-        columns = [pa.array(x, kind) for x, kind in zip(zip(*out, strict=True), kinds, strict=True)]
-        return pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), *columns], ["id", "fp", "sketch", "anchors", "size", "digest", "shingles"])
-
-    marked = materialise(map_batches(same_or_null(docs, id_col, text_col), mark, "id long, fp long, sketch binary, anchors array<long>, size int, digest binary, shingles binary"), "marks")
-    facts = F.first(F.struct("fp", "sketch", "anchors", "size"))
-    nodes = materialise(marked.groupBy("digest").agg(F.min("id").alias("rep"), facts.alias("x")).select("digest", "rep", "x.*"), "nodes")
-    held = nodes.where("rep is not null").select("digest", "rep", "sketch", "size", F.explode("anchors").alias("anchor"))
-    sizes = held.groupBy("anchor").agg(F.count("*").alias("n"), F.sum("size").alias("all")).where("n > 1")
+
+def _exactly(sets: list[np.ndarray], similarity: float):
+    """Near by the similarity of the shingle sets themselves."""
+    sizes = np.array([len(x) for x in sets])
+    codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    starts = np.cumsum(sizes) - sizes
+    parts = [codes[a : a + n] for a, n in zip(starts.tolist(), sizes.tolist(), strict=True)]
+    held = np.zeros(len(codes) + 1, bool)
+
+    def near(i, others, group):
+        low, high = np.minimum(sizes[others], sizes[i]), np.maximum(sizes[others], sizes[i])
+        held[parts[i]] = True
+        try:
+            for j in others[low >= similarity * high - 1e-6]:
+                if group[i] != group[j]:
+                    both = int(np.count_nonzero(held[parts[j]]))
+                    whole = int(sizes[i] + sizes[j]) - both
+                    if not whole or both / whole >= similarity:
+                        yield j
+        finally:
+            held[parts[i]] = False
+
+    return near
+
+
+def _in_blocks(rows: DataFrame, key: str, block_rows: int, block_shingles: int) -> DataFrame:
+    """``rows`` (key, node, size, ...) of keys that two or more share, once for each pair of blocks: key, i, j, own, then the other columns."""
+    totals = rows.groupBy(key).agg(F.count("*").alias("n"), F.sum("size").alias("all")).where("n > 1")
     blocks = F.greatest(F.ceil(F.col("n") / block_rows), F.ceil(F.col("all") / block_shingles)).cast("int")
-    met = held.join(sizes.select("anchor", blocks.alias("blocks")), "anchor").withColumn("own", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
-    met = materialise(met.select("anchor", "blocks", "own", "digest", "rep", "sketch"), "met")
-    sets = marked.select("digest", "shingles").join(met.select("digest").distinct(), "digest", "left_semi").groupBy("digest").agg(F.first("shingles").alias("shingles"))
+    met = rows.join(totals.select(key, blocks.alias("blocks")), key).withColumn("own", F.pmod(F.xxhash64(F.lit(5), "node"), F.col("blocks")).cast("int"))
     spread = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    sent = spread.join(sets, "digest").select("anchor", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "digest", "rep", "sketch", "shingles")
+    return spread.select(key, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", *[c for c in rows.columns if c != key])
+
+
+def _edges_of_blocks(sent: DataFrame, key: str, near_of) -> DataFrame:
+    """(a, b): the forest of every pair of blocks; ``near_of`` makes a comparison from a group's columns after ``own`` and ``node``."""
+    at = sent.columns.index("node")
 
     def compare(batches):
-        key, group = None, []
+        now, group = None, []
 
         def edges() -> list[tuple[int, int]]:
-            own, ids = np.array([r[0] for r in group]), np.array([r[2] for r in group])
-            sketches = np.frombuffer(b"".join(r[3] for r in group), np.uint8).reshape(len(group), -1)
-            left, right = (np.nonzero(own == k)[0] for k in key[1:])
-            return _forest(ids, sketches, [np.frombuffer(r[4], np.uint64) for r in group], left, right, similarity)
+            own, ids = np.array([r[0] for r in group]), np.array([r[at - 3] for r in group], np.int64)
+            left, right = (np.nonzero(own == k)[0] for k in now[1:])
+            return _forest(ids, left, right, near_of(group))
 
         for batch in batches:
             found = []
-            for at in range(0, batch.num_rows, 256):
-                for anchor, i, j, *row in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns), strict=True):
-                    if (anchor, i, j) != key:
+            for start in range(0, batch.num_rows, 256):
+                for k, i, j, *row in zip(*(c.to_pylist() for c in batch.slice(start, 256).columns), strict=True):
+                    if (k, i, j) != now:
                         found += edges() if len(group) > 1 else []
-                        key, group = (anchor, i, j), []
+                        now, group = (k, i, j), []
                     group.append(row)
             yield _edge_batch(found)
         yield _edge_batch(edges() if len(group) > 1 else [])
 
-    links = sent.repartition("anchor", "i", "j").sortWithinPartitions("anchor", "i", "j", "digest").mapInArrow(compare, "a long, b long")
-    roots = connected_components(links)
-    labels = nodes.join(roots, nodes["rep"] == roots["node"], "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
-    return marked.select("id", "fp", "digest").join(labels, "digest").select("id", "fp", "component_id")
+    return sent.repartition(key, "i", "j").sortWithinPartitions(key, "i", "j", "node").mapInArrow(compare, "a long, b long")
+
+
+@scoped
+def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, width: int = 5, anchors: int = 6, max_distance: int = 24, block_rows: int = 1024, block_shingles: int = 2_000_000, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Group texts whose ``width``-word shingle sets are similar, links chained: id, ``carry`` columns, fp, component_id, group.
+
+    Every text brings its SimHash (of its set of shingles, repeats counted
+    once), its ``anchors`` smallest shingle hashes and a sketch of 256 bins.
+    Texts that share an anchor meet, in blocks of about ``block_rows`` rows
+    that are compared a pair of blocks at a time; what a block emits is a
+    forest, so emission is linear whatever the size of a group. There set
+    sizes, the SimHash's running budgets within ``max_distance`` bits and the
+    sketch prune generously. Only texts that are left with a partner are read
+    again; their shingle sets meet in blocks within the groups of what was not
+    pruned, and the exact similarity of the sets decides.
+
+    Texts with equal sets are copies. Null, empty and blank texts are copies of
+    each other. ``group`` is the same for the rows of a group and never null;
+    component_id is the group's smallest id (null if only null ids are in it).
+    Repeated rows and null ids are rows like any other; extra columns are
+    ignored; an empty table gives an empty table.
+    """
+    from xxhash import xxh3_128_digest
+
+    from inkmill.llm.minhash import OnePermutation
+
+    scheme = OnePermutation(bin_bits=8, low_bits=8, width=width)
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"), *[F.col(f"`{c}`") for c in carry])
+    keys = [F.xxhash64(F.lit(k), F.col("id").isNull(), "id", F.col("text").isNull(), "text").alias(f"row{k}") for k in (1, 2)]
+    rows = rows.select("*", *keys)
+    kept = ["id", *carry, "row1", "row2"]
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+
+    def mark(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out = []
+        for text in batch.column(0).to_pylist():
+            own = np.unique(shingle_hashes(text, width))
+            out.append((_bits(own), scheme.packed(scheme.from_hashes(own)), own[:anchors].view(np.int64).tolist() or [0], len(own), xxh3_128_digest(own.tobytes())))
+        columns = [pa.array(x, kind) for x, kind in zip(zip(*out, strict=True), (pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.int32(), pa.binary()), strict=True)]
+        return pa.RecordBatch.from_arrays([*batch.columns[1:], *columns], [*kept, "fp", "sketch", "anchors", "size", "digest"])
+
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in kept) + ", fp long, sketch binary, anchors array<long>, size int, digest binary"
+    marked = materialise(map_batches(rows.select("text", *kept), mark, schema), "marks")
+    facts = F.first(F.struct("fp", "sketch", "anchors", "size")).alias("x")
+    reader = F.min(F.struct("row1", "row2")).alias("reader")
+    nodes = materialise(marked.groupBy("digest").agg(F.min("id").alias("rep"), reader, facts).select(F.xxhash64("digest").alias("node"), "digest", "rep", "reader.*", "x.*"), "nodes")
+
+    def loose(group: list):
+        fps, sizes = np.array([r[2] for r in group], np.int64).view(np.uint64), np.array([r[4] for r in group])
+        return _loosely(fps, np.frombuffer(b"".join(r[3] for r in group), np.uint8).reshape(len(group), -1), sizes, similarity, max_distance)
+
+    met = _in_blocks(nodes.select(F.explode("anchors").alias("anchor"), "node", "fp", "sketch", "size"), "anchor", block_rows, 1 << 62)
+    roots = materialise(connected_components(_edges_of_blocks(met, "anchor", loose)), "loose")
+
+    def exact(group: list):
+        return _exactly([np.frombuffer(r[3], np.uint64) for r in group], similarity)
+
+    def shingles(batch: pa.RecordBatch) -> pa.RecordBatch:
+        own = [np.unique(shingle_hashes(t, width)).tobytes() for t in batch.column(0).to_pylist()]
+        return pa.RecordBatch.from_arrays([pa.array(map(xxh3_128_digest, own), pa.binary()), pa.array(own, pa.binary())], ["digest", "shingles"])
+
+    members = materialise(nodes.join(roots, "node").select("component", "node", "digest", "size", "row1", "row2"), "members")
+    read = map_batches(rows_in(rows.select("text", "row1", "row2"), members, ["row1", "row2"]).select("text"), shingles, "digest binary, shingles binary")
+    sets = read.groupBy("digest").agg(F.first("shingles").alias("shingles"))
+    whole = _in_blocks(members.join(sets, "digest").select("component", "node", "size", "shingles"), "component", block_rows, block_shingles)
+    roots = connected_components(_edges_of_blocks(whole, "component", exact))
+    grouped = nodes.select("node", "digest", "rep").join(roots, "node", "left").select("digest", "rep", F.coalesce("component", "node").alias("group"))
+    labels = grouped.join(grouped.groupBy("group").agg(F.min("rep").alias("component_id")), "group").select("digest", "group", "component_id")
+    return marked.join(labels, "digest").select("id", *carry, "fp", "component_id", "group")
+
+
+def row_keys(docs: DataFrame) -> list[Column]:
+    """Two hashes (_key1, _key2) over all columns of a row; rows that are equal throughout have equal keys."""
+    parts = []
+    for field in docs.schema.fields:
+        value = F.col(f"`{field.name}`")
+        parts += [value.isNull(), F.array_sort(F.map_entries(value)) if field.dataType.typeName() == "map" else value]
+    return [F.xxhash64(F.lit(k), *parts).alias(f"_key{k}") for k in (1, 2)]
+
+
+@scoped
+def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, width: int = 5) -> DataFrame:
+    """The rows of ``docs``, all columns, without near copies: of each group of ``similar_groups`` one row stays.
+
+    It is the one with the smallest id, null ids last, then with the smallest
+    hash of the whole row; rows that are equal throughout count once. The texts
+    are not shuffled as long as the rows to drop are few enough to be sent to
+    the scan (``rows_in``).
+    """
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    keyed = docs.select(whole, F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), *row_keys(docs))
+    key = ["_key1", "_key2"]
+    groups = similar_groups(keyed, "id", "text", similarity, width, carry=tuple(key))
+    rows = materialise(groups.groupBy("group", "id", *key).agg(F.count("*").alias("n")), "groups")
+    row = F.struct(F.col("id").isNull().alias("last"), "id", *key)
+    fate = rows.join(rows.groupBy("group").agg(F.min(row).alias("first")), "group").withColumn("stays", row.eqNullSafe(F.col("first")))
+    fate = materialise(fate.select(*key, "stays", "n"), "fate")
+    left = rows_in(keyed.select("row", *key), fate.where("not stays"), key, keep=False)
+    repeated = fate.where("stays and n > 1")
+    if repeated.limit(1).count():
+        once = rows_in(left, repeated, key).groupBy(*key).agg(F.first("row").alias("row")).select("row")
+        left = rows_in(left, repeated, key, keep=False).select("row").union(once)
+    return left.select("row.*")
 
 
 def _edge_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:

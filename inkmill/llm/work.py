@@ -8,9 +8,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkmill.operators.work import broadcast_if_small, discard, materialise
+from inkmill.operators.work import broadcast_if_small, discard, materialise, release, rows_in, scoped
 
-__all__ = ["broadcast_if_small", "discard", "map_batches", "materialise", "same_or_null"]
+__all__ = ["broadcast_if_small", "discard", "map_batches", "materialise", "release", "rows_in", "same_or_null", "scoped"]
 
 
 def map_batches(df: DataFrame, kernel: Callable[[pa.RecordBatch], pa.RecordBatch | list], schema: str, rows: int = 256) -> DataFrame:

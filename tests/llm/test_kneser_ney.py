@@ -1,10 +1,11 @@
 import math
+import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
 
-from inkmill.llm.kneser_ney import PAD, classify, grams, score_perplexity
+from inkmill.llm.kneser_ney import PAD, blocks, classify, grams, score_perplexity
 from inkmill.llm.queries import QUERIES
 
 
@@ -64,6 +65,46 @@ def test_grams_number_every_window():
     assert all(tuple(levels[3][number[i]]) == tuple(codes[i - 3 : i + 1]) for i in range(3, 500))
 
 
+def test_thresholds_and_verdicts_against_dictionaries(spark):
+    """A language with enough held-out texts, one with few, one without any: models, quantiles and verdicts by hand."""
+    rng = np.random.default_rng(7)
+    langs = ["aa"] * 160 + ["bb"] * 30 + ["cc"] * 10
+    shapes = {"aa": "abcd ", "bb": "bcx y", "cc": "abcd "}
+    texts = ["".join(rng.choice(list(shapes[g]), rng.integers(5, 60))) for g in langs]
+    texts[::23] = ["".join(rng.choice(list("qwrtzkjh"), 40)) for _ in texts[::23]]
+    trusted = [i for i, g in enumerate(langs) if g != "cc" and i % 23]
+    docs = spark.createDataFrame([(i, t, g) for i, (t, g) in enumerate(zip(texts, langs, strict=True))], "doc_id long, text string, lang string")
+    level = 0.98
+    got = {r.id: r for r in classify(docs, spark.createDataFrame([(i,) for i in trusted], "id long"), order=3, level=level, least=12).collect()}
+    held = [i for i in trusted if zlib.crc32(str(i).encode()) % 5 == 0]
+    logs = {}
+    for g in ("aa", "bb"):
+        slow = slow_model([texts[i] for i in trusted if langs[i] == g and i not in held], 3)
+        logs |= {i: math.log(slow(texts[i])) for i in range(200) if langs[i] == g}
+
+    def quantile(x, q):
+        return sorted(x)[max(0, math.ceil(q * len(x)) - 1)]
+
+    middle = {g: quantile([logs[i] for i in held if langs[i] == g], 0.5) for g in ("aa", "bb")}
+    steps = math.log10(0.5 / (1 - level))
+    own = quantile([logs[i] for i in held if langs[i] == "aa"], 0.95) - middle["aa"]
+    pooled = quantile([logs[i] - middle[langs[i]] for i in held], 0.95)
+    both = [quantile([logs[i] for i in held], q) for q in (0.5, 0.95)]
+    want = {"aa": middle["aa"] + steps * own, "bb": middle["bb"] + steps * pooled, "cc": both[0] + steps * (both[1] - both[0])}
+    assert sum(langs[i] == "aa" for i in held) >= 12 > sum(langs[i] == "bb" for i in held) > 0
+    for i, r in got.items():
+        assert math.isclose(math.log(r.threshold), want[r.lang], rel_tol=1e-4)
+        if i in logs and abs(logs[i] - want[r.lang]) > 1e-3:
+            assert r.keep == (logs[i] <= want[r.lang])
+    assert sum(not r.keep for r in got.values()) >= 5
+
+
+def test_many_languages_hold_little(spark):
+    docs = spark.createDataFrame([(i, "some text here " * 3, f"l{i % 40}") for i in range(400)], "doc_id long, text string, lang string").coalesce(1)
+    table = blocks(docs, "doc_id", "text", "lang", 200, 2).collect()
+    assert sorted(i for r in table for i in r.ids) == list(range(400)) and all(sum(r.sizes) <= 2 * 200 for r in table)
+
+
 def test_query_keeps_good_text(spark):
     sf = "/root/testdata/sf0.1"
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}

@@ -1,9 +1,11 @@
+import random
 import re
+import time
 from fractions import Fraction
 
 import pytest
 
-from inkmill.llm.mixing import min_cost_flow, mix_documents, mix_words, water_fill, whole_quotas
+from inkmill.llm.mixing import MAX_PATTERNS, min_cost_flow, mix_documents, mix_words, water_fill, whole_quotas
 from inkmill.llm.queries import QUERIES
 
 
@@ -40,6 +42,81 @@ def test_flow_repeats_only_where_it_must():
     assert min_cost_flow({("a",): 4}, {"a": 100}, 3)[("a",)]["a"] == 12
 
 
+def slow_flow(patterns, quotas, limit):
+    """Least cost of the fullest routing, a word at a time by Bellman-Ford over single words' arcs."""
+    nodes = ["s", "t", *patterns, *quotas]
+    left, cost = {}, {}
+
+    def arc(a, b, capacity, c):
+        left[a, b, c], cost[a, b, c] = left.get((a, b, c), 0) + capacity, c
+        left.setdefault((b, a, -c), 0)
+        cost[b, a, -c] = -c
+
+    for p, words in patterns.items():
+        for k in range(limit):
+            arc("s", p, words, k * k)
+        for s in p:
+            arc(p, s, limit * words, 0)
+    for s, q in quotas.items():
+        arc(s, "t", q, 0)
+    words = total = 0
+    while True:
+        best, by = {n: float("inf") for n in nodes}, {}
+        best["s"] = 0
+        for _ in nodes:
+            for (a, b, c), capacity in left.items():
+                if capacity and best[a] + c < best[b]:
+                    best[b], by[b] = best[a] + c, (a, b, c)
+        if best["t"] == float("inf"):
+            return words, total
+        node = "t"
+        while node != "s":
+            a, b, c = by[node]
+            left[a, b, c] -= 1
+            left[b, a, -c] += 1
+            node = a
+        words, total = words + 1, total + best["t"]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_flow_is_full_and_cheapest(seed):
+    rng = random.Random(seed)
+    names = ["a", "b", "c"]
+    patterns = {tuple(sorted(rng.sample(names, rng.randint(1, 3)))): rng.randint(0, 6) for _ in range(5)}
+    quotas = {s: rng.randint(0, 12) for s in names}
+    flow = min_cost_flow(patterns, quotas, 3)
+    taken = {p: sum(f.values()) for p, f in flow.items()}
+    assert all(taken[p] <= 3 * patterns[p] for p in patterns)
+    assert all(sum(f.get(s, 0) for f in flow.values()) <= quotas[s] for s in names)
+    cost = sum(sum(k * k * min(w, max(0, taken[p] - k * w)) for k in range(3)) for p, w in patterns.items())
+    assert (sum(taken.values()), cost) == slow_flow(patterns, quotas, 3)
+
+
+def test_flow_of_many_patterns_is_fast():
+    rng = random.Random(1)
+    names = [f"s{i}" for i in range(50)]
+    patterns = {tuple(sorted(rng.sample(names, rng.randint(1, 4)))): rng.randint(1, 10**9) for _ in range(MAX_PATTERNS)}
+    whole = sum(patterns.values())
+    began = time.perf_counter()
+    flow = min_cost_flow(patterns, {s: whole // 50 for s in names}, 3)
+    assert sum(sum(f.values()) for f in flow.values()) == 50 * (whole // 50) and time.perf_counter() - began < 60
+
+
+def test_documents_follow_the_words(spark, monkeypatch):
+    """Every source's documents come to its target but for one document's half; with and without sending choices to the scan."""
+    docs = spark.createDataFrame([(i, "w " * (1 + i % 50), "abc"[i % 3], i) for i in range(900)], "doc_id long, text string, source string, `a.b` int")
+    found = []
+    for limit in (0, 1000):
+        monkeypatch.setattr("inkmill.llm.mixing.MAX_CHOSEN", limit)
+        monkeypatch.setattr("inkmill.llm.mixing.BUCKET_BITS", 2)
+        found.append(sorted(mix_documents(docs).collect()))
+    assert found[0] == found[1] and mix_documents(docs).columns == docs.columns
+    sizes = {s: sum(1 + i % 50 for i in range(900) if "abc"[i % 3] == s) for s in "abc"}
+    want = slow_targets(sizes, {"a": 5, "b": 2, "c": 1}, 3)
+    for s in "abc":
+        assert abs(sum(1 + r.doc_id % 50 for r in found[0] if r.source == s) - want[s]) <= 25
+
+
 @pytest.mark.parametrize("folder", ["sf0.001", "sf0.01"])
 def test_query(spark, folder):
     sf = f"/root/testdata/{folder}"

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from inkmill.llm.packing import encoder, pack, pieces, sequences, tokenised
+from inkmill.llm.packing import encoder, pack, pack_sequences, pieces, sequences, tokenised
 from inkmill.llm.queries import QUERIES, TOKENIZER
 
 WINDOW = 1024
@@ -21,6 +21,17 @@ def test_encoder_gives_the_tokenizers_ids(plain, text):
     assert [*encoder(*TOKENIZER)(text), 0] == plain(text)
 
 
+def test_encoder_on_random_unicode(plain):
+    rng = np.random.default_rng(11)
+    encode = encoder(*TOKENIZER)
+    ranges = [(0, 128), (32, 127), (0x80, 0x250), (0x300, 0x370), (0x590, 0x700), (0x900, 0xE80), (0x2000, 0x2100), (0x3040, 0x9FFF), (0xAC00, 0xD7A0), (0xFB00, 0xFFFF), (0x1F300, 0x1FB00), (0xE0000, 0xE0080)]
+    for _ in range(600):
+        spans = [ranges[k] for k in rng.integers(0, len(ranges), 4)]
+        codes = [int(rng.integers(*spans[k])) for k in rng.integers(0, 4, rng.integers(1, 80))]
+        text = "".join(chr(c) for c in codes if not 0xD800 <= c < 0xE000) + " \t\n"[rng.integers(0, 3)] * int(rng.integers(0, 5)) + "'ll 123 tail"
+        assert [*encode(text), 0] == plain(text)
+
+
 def check(rows, texts, plain, window):
     ids = {i: plain(t) for i, t in texts.items()}
     by_seq, seen = {}, {i: [] for i in texts}
@@ -64,6 +75,8 @@ def test_many_parts_and_round_trip(spark, sf, plain):
     for r in whole:
         want = [x for (k, _), ids in sorted(stream.items()) if k == r.sequence_id for x in ids]
         assert list(r.ids[: r.n_tokens]) == want
+    held = sorted((r.sequence_id, p.offset, p.id, p.start, p.length) for r in whole for p in r.pieces)
+    assert held == sorted((p.sequence_id, p.offset, p.doc_id, p.start, p.length) for p in cut)
     last = whole[-1].n_tokens
     assert len(whole[-1].ids) == (last if last & (last - 1) == 0 else 64)
 
@@ -75,3 +88,6 @@ def test_edge_rows(spark, plain):
     assert sum(r.length for r in got) == sum(len(plain(t)) for _, t, _ in rows)
     assert {r.doc_tokens for r in got if r.id in (1, 2)} == {1}
     assert pack(docs.limit(0), "doc_id", "text", *TOKENIZER).collect() == []
+    windows = pack_sequences(docs, "doc_id", "text", *TOKENIZER).collect()
+    assert sum(r.n_tokens for r in windows) == sum(r.length for r in got) == sum(p.length for r in windows for p in r.pieces)
+    assert pack_sequences(docs.limit(0), "doc_id", "text", *TOKENIZER).collect() == []
