@@ -11,13 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkmill.llm.kneser_ney import classify
+from inkmill.llm.kneser_ney import without_rejected
 from inkmill.llm.mixing import mix_documents
-from inkmill.llm.packing import pack
+from inkmill.llm.packing import pack_sequences
 from inkmill.llm.queries import TOKENIZER, held_out, trusted_ids
-from inkmill.llm.simhash import similar_groups
+from inkmill.llm.simhash import one_of_each_group
 from inkmill.llm.toxicity import fit, score_column
-from inkmill.llm.work import discard, materialise
+from inkmill.llm.work import discard, materialise, scoped
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,8 +27,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     null id, and texts without characters, stay.
     """
     trusted = trusted_ids(spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    judged = materialise(classify(docs, trusted), "judged")
-    return docs.join(judged.where("not keep").select(F.col("id").alias("doc_id")), "doc_id", "left_anti").select(docs.columns)
+    return without_rejected(docs, trusted)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,11 +38,12 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of every group of similarity 0.8 over five-word shingles; rows with a null id stay."""
-    groups = materialise(similar_groups(docs, "doc_id", "text", similarity=0.8, width=5), "groups")
-    first = groups.where("id = component_id").select(F.col("id").alias("doc_id")).distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
-    return kept.unionByName(docs.where("doc_id is null"))
+    """Keep one row of every group of similarity 0.8 over five-word shingles: the one with the smallest id.
+
+    Null ids come after all others; of rows with one id the first by a hash of
+    the whole row stays, and of rows that are equal throughout, one.
+    """
+    return one_of_each_group(docs, "doc_id", "text", similarity=0.8, width=5)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,8 +52,10 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the mixed documents in windows of 1024 ids."""
-    return pack(docs, "doc_id", "text", *TOKENIZER, window=1024, end_id=0).withColumnRenamed("id", "doc_id")
+    """The mixed documents in windows of 1024 ids: sequence_id, n_tokens, ids, and the pieces of documents that a window holds."""
+    packed = pack_sequences(docs, "doc_id", "text", *TOKENIZER, window=1024, end_id=0)
+    named = F.transform("pieces", lambda x: F.struct(x["id"].alias("doc_id"), x["start"].alias("start"), x["length"].alias("length"), x["offset"].alias("offset")))
+    return packed.withColumn("pieces", named)
 
 
 STAGES = [("quality", quality), ("toxicity", toxicity), ("near_duplicates", near_duplicates), ("mixing", mixing), ("packing", packing)]
@@ -62,12 +64,13 @@ STAGES = [("quality", quality), ("toxicity", toxicity), ("near_duplicates", near
 ORACLE_SQL = None
 
 
+@scoped
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of sf_dir, each written and read again as the next one's input."""
-    docs, written = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
+    """All stages over the documents of sf_dir, each written and read again as the next one's input; what a stage wrote goes once the next is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir), name)
-        written.append(docs)
-    packed = STAGES[-1][1](spark, docs, sf_dir)
-    discard(*written)
-    return packed
+        if before:
+            discard(before)
+        before = docs
+    return STAGES[-1][1](spark, docs, sf_dir)
