@@ -4,15 +4,21 @@ Equal vectors become one node. A first neighbour graph comes from sorting the
 nodes by random-hyperplane codes, several times, and comparing each run of
 ``run_rows`` consecutive nodes; runs are of equal length whatever the data.
 Rounds of NN-descent then compare the neighbours of a node, forward and
-reverse, with each other, and keep each node's best k. A sample of nodes
-compared with every vector audits the recall node by node; below the target,
-lists grow and rounds go on. Where rounds run out, or links are too rare for a
-sample to vouch for, all nodes are compared exactly in blocks. Edges at or over
-the threshold are the links.
-
-A node whose whole list is over the threshold is saturated. Its list is then
-enlarged to its whole component, in blocks that are compared exactly, so no
-cap cuts the number of links.
+reverse, with each other, and keep each node's best k.
+
+A node whose whole list is over the threshold is saturated. Its list gets
+twice the room and is filled by comparing what surrounds it; what is saturated
+still is compared with its whole component, a pair of blocks at a time, so no
+cap cuts the number of links. Where a run holds more links than lists keep, the
+run also gives ties, a spanning forest of its links, which join components
+that lists full of nearer nodes would leave apart.
+
+The recall is audited in one pass over all vectors, against sampled nodes and
+against probes: vectors planted just over the threshold beside sampled nodes,
+which take part in the search and are left out of the result, so that a recall
+is measured however rare links are. Until the probes' lists reach the target,
+and as long as the whole audit is below it, the search goes on with twice as
+many codes. Edges at or over the threshold are the links.
 """
 
 from __future__ import annotations
@@ -21,22 +27,58 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkmill.llm.work import discard, materialise, same_or_null
+from inkmill.llm.work import broadcast_if_small, discard, materialise, rows_in, same_or_null, scoped
 from inkmill.operators.graph import connected_components
 
-_PAIR = "a long, b long, sim double"
+_PAIR = "a long, b long, sim double, tie boolean"
 
 
-def _unit(raw: list[bytes], dtype: str) -> np.ndarray:
-    x = np.frombuffer(b"".join(raw), dtype).reshape(len(raw), -1).astype(np.float64)
-    return x / np.sqrt((x * x).sum(1))[:, None]
+def _matrix(column: pa.Array, dtype: str) -> np.ndarray:
+    """The rows of a binary column as unit vectors; they are of one length."""
+    n = len(column)
+    if not n:
+        return np.empty((0, 0))
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + n + 1]
+    raw = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].tobytes()
+    x = np.frombuffer(raw, dtype).reshape(n, -1).astype(np.float64)
+    x = x / np.abs(x).max(axis=1, keepdims=True)  # no square overflows or vanishes
+    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _pairs(a, b, sim) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(sim, pa.float64())], ["a", "b", "sim"])
+def _numbers(column: pa.Array) -> np.ndarray:
+    return column.to_numpy(zero_copy_only=False)
+
+
+def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """Consecutive rows whose first ``keys`` columns, whole numbers, are equal."""
+    held, now = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = np.stack([_numbers(batch.column(k)) for k in range(keys)])
+        starts = np.concatenate([[0], np.nonzero((values[:, 1:] != values[:, :-1]).any(axis=0))[0] + 1, [batch.num_rows]])
+        for a, b in zip(starts, starts[1:], strict=False):
+            key = values[:, a].tolist()
+            if held and key != now:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held = []
+            held.append(batch.slice(a, b - a))
+            now = key
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _column(table: pa.Table, k: int) -> pa.Array:
+    return table.column(k).chunk(0)
+
+
+def _pairs(a, b, sim, tie=False) -> pa.RecordBatch:
+    columns = [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(sim, pa.float64()), pa.array(np.full(len(a), tie))]
+    return pa.RecordBatch.from_arrays(columns, ["a", "b", "sim", "tie"])
 
 
 def vectors(rows: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, str]:
@@ -45,261 +87,359 @@ def vectors(rows: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, str]
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for vec in batch.column(1).to_pylist():
-                x = None if vec is None or None in vec else np.array(vec, dtype)
-                wide = None if x is None else x.astype(np.float64)
-                norm = 0.0 if wide is None or not np.isfinite(wide).all() else float((wide * wide).sum())
-                out.append(x.tobytes() if 0 < norm < np.inf else None)
+            column = batch.column(1)
+            flat = column.flatten()  # without the elements of null rows
+            x = _numbers(flat).astype(dtype)  # a null element becomes NaN
+            there = _numbers(column.is_valid())
+            sizes = np.where(there, _numbers(column.value_lengths().fill_null(0)), 0)
+            ends = np.cumsum(sizes)
+            bad, some = (np.concatenate([[0], np.cumsum(c)]) for c in (~np.isfinite(x), x != 0))
+            fits = (bad[ends] == bad[ends - sizes]) & (some[ends] > some[ends - sizes])
+            out = [x[b - n : b].tobytes() if ok else None for b, n, ok in zip(ends.tolist(), sizes.tolist(), fits.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(out, pa.binary())], ["id", "v"])
 
     return same_or_null(rows, id_col, vec_col).mapInArrow(kernel, "id long, v binary"), dtype
 
 
-def first_graph(nodes: DataFrame, dtype: str, k: int, trees: int, run_rows: int, seed: int) -> DataFrame:
-    """(a, b, sim): each node's best k within its run of consecutive codes, for each of ``trees`` sets of hyperplanes."""
+def _spanning(linked: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (rows, columns) of true cells that leave connected what the cells connect, fewer than rows and columns together."""
+    rows, columns = linked.any(1), linked.any(0)
+    while rows.any():
+        front = np.array([rows.argmax()])
+        rows[front] = False
+        while len(front):
+            new = np.nonzero(linked[front].any(0) & columns)[0]
+            columns[new] = False
+            yield front[linked[np.ix_(front, new)].argmax(0)] if len(new) else new, new
+            after = np.nonzero(linked[:, new].any(1) & rows)[0]
+            rows[after] = False
+            yield after, new[linked[np.ix_(after, new)].argmax(1)] if len(after) else after
+            front = after
+
+
+def first_graph(nodes: DataFrame, dtype: str, centres: dict[int, np.ndarray], k: int, threshold: float, trees: range, run_rows: int, seed: int, probes: range) -> DataFrame:
+    """(a, b, sim, tie): each node's best k / 2 within its run of consecutive codes, for each set of hyperplanes in ``trees``; and ties.
+
+    ``centres``: length of a vector in bytes -> a point amid the vectors of
+    that length, through which the hyperplanes pass. ``probes``: numbers of
+    nodes that tie nothing.
+    """
 
     def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            raw = batch.column(1).to_pylist()
-            unit = _unit(raw, dtype)
-            for tree in range(trees):
-                planes = np.random.default_rng([seed, tree]).standard_normal((unit.shape[1], 62))
-                code = ((unit @ planes > 0) @ (1 << np.arange(61, -1, -1, dtype=np.int64))).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([tree] * len(raw), pa.int32()), pa.array(code), batch.column(0), batch.column(1)], ["tree", "code", "node", "v"])
+            sizes = _numbers(pc.binary_length(batch.column(1)))
+            for size in np.unique(sizes).tolist():
+                part = batch.filter(pa.array(sizes == size))
+                unit, centre = _matrix(part.column(1), dtype), centres[size]
+                for tree in trees:
+                    planes = np.random.default_rng([seed, tree, size]).standard_normal((unit.shape[1], 62))
+                    code = ((unit @ planes > centre @ planes) @ (1 << np.arange(61, -1, -1, dtype=np.int64))).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array([tree] * len(unit), pa.int32()), pa.array([size] * len(unit), pa.int32()), pa.array(code), part.column(0), part.column(1)], ["tree", "size", "code", "node", "v"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-
-        def best() -> pa.RecordBatch:
-            ids = np.array([x[1] for x in held])
-            unit = _unit([x[2] for x in held], dtype)
+        for run in _runs(batches, run_rows):
+            ids, unit = _numbers(_column(run, 3)), _matrix(_column(run, 4), dtype)
             sims = unit @ unit.T
             np.fill_diagonal(sims, -2)
-            n = min(k, len(ids) - 1)
-            at = np.argpartition(-sims, n - 1, axis=1)[:, :n] if n else np.empty((len(ids), 0), int)
+            n = min(max(2, k // 2), len(ids) - 1)
+            if not n:
+                continue
+            at = np.argpartition(-sims, n - 1, axis=1)[:, :n]
             row = np.repeat(np.arange(len(ids)), n)
-            return _pairs(ids[row], ids[at.ravel()], sims[row, at.ravel()])
-
-        for batch in batches:
-            for x in zip(*(batch.column(c).to_pylist() for c in (0, 2, 3)), strict=True):
-                if held and (held[0][0] != x[0] or len(held) >= run_rows):
-                    yield best()
-                    held = []
-                held.append(x)
-        if held:
-            yield best()
-
-    coded = nodes.select("node", "v").mapInArrow(codes, "tree int, code long, node long, v binary")
-    return coded.repartitionByRange("tree", "code", "node").sortWithinPartitions("tree", "code", "node").mapInArrow(compare, _PAIR)
-
-
-def keep_best(pairs: DataFrame, k: int) -> DataFrame:
-    """Each node's best k distinct neighbours."""
+            yield _pairs(ids[row], ids[at.ravel()], sims[row, at.ravel()])
+            linked = sims >= threshold
+            if linked.sum(axis=1).max() > n:  # more links than lists keep
+                real = np.nonzero((ids < probes.start) | (ids >= probes.stop))[0]
+                ends = list(_spanning(linked[np.ix_(real, real)]))
+                if ends:
+                    p, q = (real[np.concatenate(x)] for x in zip(*ends, strict=True))
+                    yield _pairs(ids[p], ids[q], sims[p, q], True)
+
+    coded = nodes.select("node", "v").mapInArrow(codes, "tree int, size int, code long, node long, v binary")
+    order = ["tree", "size", "code", F.xxhash64("tree", "node")]
+    return coded.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(compare, _PAIR)
+
+
+def _runs(batches: Iterator[pa.RecordBatch], run_rows: int) -> Iterator[pa.Table]:
+    """Runs of at most ``run_rows`` rows of one tree and one length."""
+    held, now, n = [], None, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = np.stack([_numbers(batch.column(k)) for k in (0, 1)])
+        starts = np.concatenate([[0], np.nonzero((values[:, 1:] != values[:, :-1]).any(axis=0))[0] + 1, [batch.num_rows]])
+        for a, b in zip(starts, starts[1:], strict=False):
+            if values[:, a].tolist() != now:
+                if held:
+                    yield pa.Table.from_batches(held).combine_chunks()
+                held, now, n = [], values[:, a].tolist(), 0
+            while a < b:
+                m = min(b - a, run_rows - n)
+                held.append(batch.slice(a, m))
+                a, n = a + m, n + m
+                if n == run_rows:
+                    yield pa.Table.from_batches(held).combine_chunks()
+                    held, n = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def keep_best(pairs: DataFrame, k: int, limits: DataFrame | None = None) -> DataFrame:
+    """Each node's best k distinct neighbours, or as many as ``limits`` (a, most) grants it."""
     once = pairs.groupBy("a", "b").agg(F.max("sim").alias("sim"))
     rank = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("sim"), "b"))
-    return once.withColumn("r", rank).where(F.col("r") <= k).drop("r")
+    most = F.lit(k)
+    if limits is not None:
+        once, most = once.join(limits.select("a", "most"), "a", "left"), F.coalesce("most", F.lit(k))
+    return once.withColumn("r", rank).where(F.col("r") <= most).select("a", "b", "sim")
 
 
-def descend(graph: DataFrame, nodes: DataFrame, dtype: str, k: int) -> DataFrame:
+def descend(graph: DataFrame, nodes: DataFrame, dtype: str, k: int, limits: DataFrame | None = None, growing: bool = False) -> DataFrame:
     """One round: the members around each node (itself, its neighbours, up to k reverse ones) are compared with each other.
 
-    Returns the pairs that are better than what a list's owner holds last.
+    Returns each member's best k pairs that are better than what its list holds
+    last. Lists in ``limits`` (a, most, n) have room for ``most``; ``growing``
+    goes only around those that it does not fill with links.
     """
-    back = graph.select(F.col("b").alias("w"), F.col("a").alias("x"))
+    lists, heads, back = graph, nodes.select("node"), graph.select(F.col("b").alias("w"), F.col("a").alias("x"))
+    if growing:
+        heads = limits.where("n < most").select(F.col("a").alias("node"))
+        lists, back = graph.join(heads.withColumnRenamed("node", "a"), "a", "left_semi"), back.join(heads.withColumnRenamed("node", "w"), "w", "left_semi")
     rank = F.row_number().over(Window.partitionBy("w").orderBy(F.xxhash64("x", "w"), "x"))
     back = back.withColumn("r", rank).where(F.col("r") <= k).drop("r")
-    around = graph.select(F.col("a").alias("w"), F.col("b").alias("x")).unionByName(back).unionByName(nodes.select(F.col("node").alias("w"), F.col("node").alias("x"))).distinct()
-    last = graph.groupBy("a").agg(F.when(F.count("*") >= k, F.min("sim")).alias("last"))
+    around = lists.select(F.col("a").alias("w"), F.col("b").alias("x")).unionByName(back).unionByName(heads.select(F.col("node").alias("w"), F.col("node").alias("x"))).distinct()
+    room = F.lit(k) if limits is None else F.coalesce(F.first("most"), F.lit(k))
+    last = (graph if limits is None else graph.join(limits, "a", "left")).groupBy("a").agg(F.when(F.count("*") >= room, F.min("sim")).alias("last"))
     held = nodes.join(last, nodes["node"] == last["a"], "left").select(F.col("node").alias("x"), "v", F.coalesce("last", F.lit(-2.0)).alias("last"))
     members = around.join(held, "x").select("w", "x", "v", "last")
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, group = None, []
-
-        def better() -> tuple:
-            ids, last = np.array([x[0] for x in group]), np.array([x[2] for x in group])
-            unit = _unit([x[1] for x in group], dtype)
+        out, n = [], 0
+        for group in _groups(batches, 1):
+            ids, unit, last = _numbers(_column(group, 1)), _matrix(_column(group, 2), dtype), _numbers(_column(group, 3))
             sims = unit @ unit.T
             np.fill_diagonal(sims, -3)
+            if len(ids) > k + 1:
+                last = np.maximum(last, -np.partition(-sims, k, axis=1)[:, k])
             i, j = np.nonzero(sims > last[:, None])
-            return ids[i], ids[j], sims[i, j]
-
-        for batch in batches:
-            out = []
-            for w, *x in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if w != now and group:
-                    out.append(better())
-                    group = []
-                now = w
-                group.append(x)
-            if out:
+            out.append((ids[i], ids[j], sims[i, j]))
+            n += len(i)
+            if n > 50_000:
                 yield _pairs(*map(np.concatenate, zip(*out, strict=True)))
-        if group:
-            yield _pairs(*better())
+                out, n = [], 0
+        if out:
+            yield _pairs(*map(np.concatenate, zip(*out, strict=True)))
 
     return members.repartition("w").sortWithinPartitions("w").mapInArrow(local, _PAIR)
 
 
-def audit(found: DataFrame, dtype: str, threshold: float, sample: int, seed: int, enough: int = 300) -> float | None:
-    """Mean share of a node's links that were found, over sampled nodes with links; the lesser of listed nodes' and whole components'.
+def _against_all(nodes: DataFrame, dtype: str, queries: list[tuple[int, bytes]], threshold: float) -> dict[int, tuple[int, int]]:
+    """Links of each query (number, vector) to the vectors of all ``nodes`` (node, v, copies) but itself, in one pass: with copies, and nodes."""
 
-    ``found``: node, v, copies, n (links found), whole (n is from a whole
-    component). Exact: sampled nodes meet every vector. Slices of about
-    ``sample`` nodes are added until ``enough`` listed nodes with links are
-    seen. None where that would take more than a quarter of the nodes, as
-    comparing all of them is then little more work.
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by_size: dict[int, list] = {}
+        for i, raw in queries:
+            by_size.setdefault(len(raw), []).append((i, raw))
+        held = {s: (np.array([i for i, _ in q]), _matrix(pa.array([r for _, r in q], pa.binary()), dtype), np.zeros((len(q), 2), np.int64)) for s, q in by_size.items()}
+        for batch in batches:
+            sizes = _numbers(pc.binary_length(batch.column(1)))
+            for size in np.unique(sizes).tolist():
+                if size in held:
+                    part, (ids, unit, total) = batch.filter(pa.array(sizes == size)), held[size]
+                    for at in range(0, part.num_rows, 2048):
+                        rows = part.slice(at, 2048)
+                        linked = (unit @ _matrix(rows.column(1), dtype).T >= threshold) & (ids[:, None] != _numbers(rows.column(0)))
+                        copies = _numbers(rows.column(2))
+                        total += linked @ np.stack([copies, copies > 0], axis=1)
+        for ids, _, total in held.values():
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[:, 0]), pa.array(total[:, 1])], ["node", "n", "d"])
+
+    counted = nodes.select("node", "v", "copies").mapInArrow(count, "node long, n long, d long").groupBy("node").agg(F.sum("n").alias("n"), F.sum("d").alias("d"))
+    return {i: (0, 0) for i, _ in queries} | {r.node: (r.n, r.d) for r in counted.collect()}
+
+
+def probes_beside(chosen: list, dtype: str, threshold: float, first: int, seed: int) -> list[tuple[int, bytes]]:
+    """(number, vector): beside each chosen vector one at a random angle whose cosine is just over the threshold."""
+    rng, out = np.random.default_rng([seed, 99]), []
+    for n, (_, raw) in enumerate(chosen):
+        unit = _matrix(pa.array([raw], pa.binary()), dtype)[0]
+        aside = rng.standard_normal(len(unit))
+        aside -= (aside @ unit) * unit
+        size = np.sqrt(aside @ aside)
+        if len(unit) > 1 and size > 0:
+            cosine = threshold + (1 - threshold) * rng.uniform(0.001, 0.25)
+            out.append((first + n, (cosine * unit + np.sqrt(1 - cosine**2) * aside / size).astype(dtype).tobytes()))
+    return out
+
+
+def _by_component(saturated: DataFrame, members: DataFrame, dtype: str, threshold: float, block_rows: int) -> DataFrame:
+    """(node, n): links of saturated nodes within their components, and of the other members to saturated ones.
+
+    ``saturated`` and ``members``: component, node, v, copies; members also
+    ``full`` (is saturated). Saturated nodes and members are cut into blocks of
+    about ``block_rows``, and a task compares a block of each.
     """
-    slices = max(1, -(-found.count() // sample))
-    place, tested, tally = F.pmod(F.xxhash64(F.lit(seed), "node"), F.lit(slices)), 0, {}
-    step = 1
-    while tested < slices:
-        chosen = found.where(place.between(tested, tested + step - 1)).select("node", "v", "copies", "n", "whole").collect()
-        tested += step
-        if chosen:
-            ids, raw = np.array([r.node for r in chosen]), [bytes(r.v) for r in chosen]
-
-            def count(batches: Iterator[pa.RecordBatch], ids=ids, raw=raw) -> Iterator[pa.RecordBatch]:
-                queries, total = _unit(raw, dtype), np.zeros(len(ids), np.int64)
-                for batch in batches:
-                    for at in range(0, batch.num_rows, 2048):
-                        rows = batch.slice(at, 2048)
-                        other, copies = rows.column(0).to_numpy(), rows.column(2).to_numpy()
-                        unit = _unit(rows.column(1).to_pylist(), dtype)
-                        for q in range(0, len(ids), 2048):
-                            linked = (queries[q : q + 2048] @ unit.T >= threshold) & (ids[q : q + 2048, None] != other)
-                            total[q : q + 2048] += linked @ copies
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], ["node", "n"])
-
-            true = dict(found.select("node", "v", "copies").mapInArrow(count, "node long, n long").groupBy("node").agg(F.sum("n")).collect())
-            for x in chosen:
-                if true[x.node]:
-                    tally.setdefault(x.whole, []).append(min(x.n, true[x.node]) / true[x.node])
-        seen = len(tally.get(False, []))
-        if seen >= enough:
-            break
-        step = min(16, slices - tested, max(1, -(-(enough - seen) * tested // max(seen, 1))))
-        if tested < slices and (tested + step) * 4 > slices:
-            return None
-    return min((float(np.mean(x)) for x in tally.values()), default=1.0)
 
+    def blocks(rows: DataFrame, n: str) -> DataFrame:
+        return rows.groupBy("component").agg(F.ceil(F.count("*") / block_rows).cast("int").alias(n))
 
-def _whole_counts(members: DataFrame, dtype: str, threshold: float, block_rows: int) -> DataFrame:
-    """(node, n): links of each node within its component, by exact comparison in blocks. ``members``: component, node, v, copies."""
-    return _exact(members, dtype, threshold, block_rows).where("b is null").groupBy("node").agg(F.sum("n").alias("n"))
+    grid = broadcast_if_small(blocks(saturated, "p").join(blocks(members, "q"), "component"))
 
+    def sent(rows: DataFrame, own: str, other: str, side: int) -> DataFrame:
+        placed = rows.join(grid, "component").withColumn("own", F.pmod(F.xxhash64("node"), F.col(own)).cast("int"))
+        spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+        i, j = ("own", "other") if side == 0 else ("other", "own")
+        return spread.select("component", F.col(i).alias("i"), F.col(j).alias("j"), F.lit(side).alias("side"), "node", "v", "copies", "full")
 
-def _spanning(linked: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs (rows, columns) of true cells that leave connected what the cells connect, fewer than rows and columns together."""
-    rows, columns = linked.any(1), linked.any(0)
-    while rows.any():
-        front = np.array([rows.argmax()])
-        rows[front] = False
-        while len(front):
-            new = np.nonzero(linked[front].any(0) & columns)[0]
-            columns[new] = False
-            yield front[linked[np.ix_(front, new)].argmax(0)] if len(new) else new, new
-            after = np.nonzero(linked[:, new].any(1) & rows)[0]
-            rows[after] = False
-            yield after, new[linked[np.ix_(after, new)].argmax(1)] if len(after) else after
-            front = after
+    both = sent(saturated.withColumn("full", F.lit(True)), "p", "q", 0).unionByName(sent(members, "q", "p", 1))
 
-
-def _exact(members: DataFrame, dtype: str, threshold: float, block_rows: int, forest: bool = False) -> DataFrame:
-    """(node, b, n): link counts by block with b null; with ``forest`` also links (node, b) that leave connected what is linked."""
-    sizes = members.groupBy("component").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
-    placed = members.join(sizes, "component").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    sent = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "v", "copies")
-
-    def count(table: pa.Table) -> pa.Table:
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        own, ids = np.array(table.column("own").to_pylist()), np.array(table.column("node").to_pylist())
-        copies, unit = np.array(table.column("copies").to_pylist()), _unit(table.column("v").to_pylist(), dtype)
-        n, ends = np.zeros(len(ids), np.int64), [(ids[:0], ids[:0])]
-        for left, right in {(i, j), (j, i)}:
-            a, b = np.nonzero(own == left)[0], np.nonzero(own == right)[0]
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, 3):
+            side, ids, copies, full = (_numbers(_column(group, k)) for k in (3, 4, 6, 7))
+            unit = _matrix(_column(group, 5), dtype)
+            a, b = np.nonzero(side == 0)[0], np.nonzero(side == 1)[0]
+            back, plain = np.zeros(len(b), np.int64), ~full[b].astype(bool)
             for at in range(0, len(a), 1024):
                 rows = a[at : at + 1024]
-                linked = unit[rows] @ unit[b].T >= threshold
-                if i == j:
-                    linked[np.arange(len(rows)), at + np.arange(len(rows))] = False
-                n[rows] += linked @ copies[b]
-                if forest and left <= right:
-                    ends += [(ids[rows[p]], ids[b[q]]) for p, q in _spanning(linked)]
-        p, q = map(np.concatenate, zip(*ends, strict=True))
-        none = pa.nulls(len(ids), pa.int64())
-        return pa.table({"node": pa.array(np.concatenate([ids, p]), pa.int64()), "b": pa.concat_arrays([none, pa.array(q, pa.int64())]), "n": pa.array(np.concatenate([n, np.zeros(len(p), np.int64)]))})
+                linked = (unit[rows] @ unit[b].T >= threshold) & (ids[rows, None] != ids[b])
+                back += copies[rows] @ linked
+                yield pa.RecordBatch.from_arrays([pa.array(ids[rows]), pa.array(linked @ copies[b])], ["node", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids[b][plain]), pa.array(back[plain])], ["node", "n"])
 
-    return sent.groupBy("component", "i", "j").applyInArrow(count, "node long, b long, n long")
+    order = ["component", "i", "j"]
+    return both.repartition(*order).sortWithinPartitions(*order).mapInArrow(count, "node long, n long").groupBy("node").agg(F.sum("n").alias("n"))
 
 
-def _round(graph: DataFrame, nodes: DataFrame, dtype: str, k: int) -> DataFrame:
-    after = materialise(keep_best(graph.unionByName(descend(graph, nodes, dtype, k)), k), "graph")
-    discard(graph)
-    return after
+def _limits(graph: DataFrame, threshold: float, k: int) -> DataFrame:
+    """(a, most, n): every list with k links or more has room for 2 k; it holds n links."""
+    counts = graph.where(F.col("sim") >= threshold).groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") >= k)
+    return materialise(counts.select("a", F.lit(2 * k).alias("most"), "n"), "limits")
 
 
-def _found(graph: DataFrame, nodes: DataFrame, dtype: str, threshold: float, k: int, block_rows: int) -> tuple[DataFrame, DataFrame]:
-    """Nodes with n (links to other nodes' vectors) and whole (counted in its whole component); the components."""
+def _found(graph: DataFrame, ties: DataFrame, nodes: DataFrame, dtype: str, threshold: float, full: DataFrame, block_rows: int, probes: range) -> DataFrame:
+    """Nodes with n (links to other nodes' vectors), full (counted against the whole component) and component.
+
+    ``nodes``: node, v, copies, which is 0 for probes; they count as links of no
+    one and connect nothing. ``full``: a, the nodes whose lists are saturated.
+    """
     links = graph.where(F.col("sim") >= threshold).select("a", "b")
-    roots = materialise(connected_components(links), "roots")
-    full = links.groupBy("a").count().where(F.col("count") >= k).join(roots, F.col("a") == F.col("node")).select("component").distinct()
-    sizes = nodes.select("node", "copies")
+    real = links.where(~F.col("a").between(probes.start, probes.stop - 1) & ~F.col("b").between(probes.start, probes.stop - 1))
+    roots = materialise(connected_components(real.unionByName(ties)), "roots")
+    beside = links.where(F.col("a").between(probes.start, probes.stop - 1)).join(roots, F.col("b") == F.col("node")).groupBy("a").agg(F.min("component").alias("component"))
+    roots = roots.unionByName(beside.select(F.col("a").alias("node"), "component"))
+    room = full.select(F.col("a").alias("node"), F.lit(True).alias("full"))
+    facts = materialise(nodes.join(room, "node", "left").withColumn("full", F.coalesce("full", F.lit(False))).join(roots, "node", "left"), "facts")
+    dense = materialise(facts.where("full").select("component").distinct(), "dense")
+    members = rows_in(facts, dense, ["component"]).select("component", "node", "v", "copies", "full")
+    whole = _by_component(members.where("full").drop("full"), members, dtype, threshold, block_rows)
+    plain = facts.where("not full").select(F.col("node").alias("b"), "copies")
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    listed = both.join(sizes, both["b"] == sizes["node"]).groupBy("a").agg(F.sum("copies").alias("listed")).withColumnRenamed("a", "node")
-    members = roots.join(full, "component").join(nodes, "node").select("component", "node", "v", "copies")
-    whole = _whole_counts(members, dtype, threshold, block_rows).withColumnRenamed("n", "whole")
-    counted = nodes.join(listed, "node", "left").join(whole, "node", "left")
-    found = counted.select(*nodes.columns, F.coalesce("whole", "listed", F.lit(0)).alias("n"), F.col("whole").isNotNull().alias("whole"))
-    return materialise(found, "found"), roots
+    listed = both.join(plain, "b").join(plain.select(F.col("b").alias("a")), "a", "left_semi").groupBy("a").agg(F.sum("copies").alias("n")).withColumnRenamed("a", "node")
+    n = listed.unionByName(whole).groupBy("node").agg(F.sum("n").alias("n"))
+    found = facts.join(n, "node", "left").select(*nodes.columns, F.coalesce("n", F.lit(0)).alias("n"), "full", "component")
+    return materialise(found, "found")
 
 
-def near_embeddings(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = 0.9, k: int = 12, trees: int = 4, run_rows: int = 512, rounds: int = 2, max_rounds: int = 6, target: float = 0.99, sample: int = 1000, block_rows: int = 2048, seed: int = 8) -> DataFrame:
+@scoped
+def near_embeddings(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = 0.9, k: int = 8, trees: int = 8, run_rows: int = 512, rounds: int = 1, target: float = 0.99, sample: int = 1000, most_trees: int = 4096, block_rows: int = 2048, seed: int = 8) -> DataFrame:
     """Links between vectors with cosine >= ``threshold``, and their components.
 
     Returns one row per input row: id, n_links (other vectors linked directly,
     copies included), component_id (smallest id reachable by links, its own
-    included), kept (id is component_id), recall (of the audit). Vectors that
-    are null, empty, zero, hold null or non-finite components, or have another
-    length than most, and rows with a null id, link with nothing; such a row is
-    its own component (null for a null id). Rows that repeat an id and its
-    vector are vectors of their own. Extra columns are ignored; an empty table
-    gives an empty table.
+    included), kept (id is component_id), recall (of the audit: the least of
+    the mean shares of links found, over probes, over sampled nodes whose list
+    holds their links, and over sampled nodes counted against their component;
+    null without two different vectors). ``target`` is the recall from which
+    the search may end; with ``most_trees`` codes below it, the call fails.
+
+    Vectors that are null, empty, zero, hold null or non-finite components, and
+    rows with a null id, link with nothing; such a row is its own component
+    (null for a null id). Vectors of different lengths do not link. Rows that
+    repeat an id and its vector are vectors of their own. Extra columns are
+    ignored; an empty table gives an empty table.
     """
+    spark = rows.sparkSession
     raw, dtype = vectors(rows, id_col, vec_col)
     raw = materialise(raw, "vectors")
-    usual = raw.where("v is not null and id is not null").groupBy(F.length("v").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
-    usable = raw.where("v is not null and id is not null").where(F.length("v") == (usual[0].n if usual else -1))
+    usable = raw.where("v is not null and id is not null")
     nodes = materialise(usable.groupBy("v").agg(F.min("id").alias("node"), F.count("*").alias("copies")), "nodes")
     shared = nodes.groupBy("node").count().where("count > 1").limit(1).count() > 0  # an id with several vectors: number the vectors instead
     nodes = nodes.withColumn("least", F.col("node")).withColumn("node", F.xxhash64("v") if shared else F.col("node"))
 
-    graph = materialise(keep_best(first_graph(nodes, dtype, k, trees, run_rows, seed), k), "graph")
-    for _ in range(rounds):
-        graph = _round(graph, nodes, dtype, k)
-    done = rounds
+    chosen = [(r.node, bytes(r.v)) for r in nodes.orderBy(F.xxhash64(F.lit(seed), "node"), "node").limit(sample).select("node", "v").collect()]
+    lowest = nodes.agg(F.min("node")).first()[0] or 0
+    free = lowest - len(chosen) if lowest >= len(chosen) - 2**63 else nodes.agg(F.max("node")).first()[0] + 1
+    planted = probes_beside(chosen[: (sample + 1) // 2], dtype, threshold, free, seed) if len(chosen) > 1 else []
+    probes = range(free, free + len(chosen))
+    if planted:
+        table = spark.createDataFrame([(bytearray(v), i, 0, None) for i, v in planted], "v binary, node long, copies long, least long")
+        nodes = materialise(nodes.unionByName(table), "searched")
+    centres: dict[int, np.ndarray] = {}
+    for size in {r.n for r in nodes.select(F.length("v").alias("n")).distinct().collect()}:
+        of = [v for _, v in chosen if len(v) == size]
+        centres[size] = _matrix(pa.array(of, pa.binary()), dtype).mean(axis=0) if of else np.zeros(size // int(dtype[2]))
+
+    graph = ties = limits = None
+    done, true, recall = 0, None, None
     while True:
-        found, roots = _found(graph, nodes, dtype, threshold, k, block_rows)
-        recall = audit(found, dtype, threshold, sample, seed)
-        if recall is not None and recall >= target:
+        more = range(done, 2 * done or trees)
+        if done >= most_trees:
+            raise RuntimeError(f"recall {recall:.4f} is under {target} with {done} codes")
+        runs = materialise(first_graph(nodes, dtype, centres, k, threshold, more, run_rows, seed, probes), "runs")
+        done = more.stop
+        found = runs.where("not tie").select("a", "b", "sim")
+        graph, old = materialise(keep_best(found if graph is None else graph.unionByName(found), k, limits), "graph"), graph
+        tied = runs.where("tie").select("a", "b")
+        ties, old_ties = materialise((tied if ties is None else ties.unionByName(tied)).distinct(), "ties"), ties
+        discard(*[t for t in (runs, old, old_ties) if t is not None])
+        for _ in range(rounds):
+            graph = _round(graph, nodes, dtype, k, limits)
+        if planted:
+            true = _against_all(nodes, dtype, chosen + planted, threshold + 1e-9) if true is None else true
+            recall = _listed_recall(graph, true, threshold, k, probes)
+            if recall < target:
+                continue
+        limits = _limits(graph, threshold, k)
+        if limits.where("n < most").limit(1).count():
+            graph = _round(graph, nodes, dtype, k, limits, growing=True)
+            limits = _limits(graph, threshold, k)
+        result = _found(graph, ties, nodes, dtype, threshold, limits.where("n >= most"), block_rows, probes)
+        if not planted:
             break
-        discard(found, roots)
-        if recall is None or done >= max_rounds:  # no list can be vouched for: compare all
-            exact = materialise(_exact(nodes.withColumn("component", F.lit(0)), dtype, threshold, block_rows, forest=True), "exact")
-            roots = materialise(connected_components(exact.where("b is not null").select(F.col("node").alias("a"), "b")), "roots")
-            found = exact.where("b is null").groupBy("node").agg(F.sum("n").alias("n")).join(nodes, "node")
-            recall = 1.0
+        recall = _recall(result, true, probes)
+        if recall >= target:
             break
-        k *= 2
-        graph, done = _round(graph, nodes, dtype, k), done + 1
-
-    counted = found.join(roots, "node", "left")
-    group = F.coalesce("component", "node")
-    facts = counted.select("v", "least", group.alias("g"), (F.col("n") + F.col("copies") - 1).alias("n_links"))
-    least = facts.groupBy("g").agg(F.min("least").alias("component_id"))
-    facts = facts.join(least, "g").select("v", "n_links", "component_id")
+        discard(result)
+
+    facts = result.where("copies > 0").select("v", "least", "component", (F.col("n") + F.col("copies") - 1).alias("n_links"))
+    least = facts.where("component is not null").groupBy("component").agg(F.min("least").alias("first"))
+    facts = facts.join(broadcast_if_small(least), "component", "left").select("v", "n_links", F.coalesce("first", "least").alias("component_id"))
     linked = usable.join(facts, "v").select("id", "n_links", "component_id")
-    alone = raw.where(F.col("v").isNull() | F.col("id").isNull() | (F.length("v") != (usual[0].n if usual else -1))).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
-    return linked.unionByName(alone).select("id", "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"), F.lit(recall).alias("recall"))
+    alone = raw.where("v is null or id is null").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
+    out = linked.unionByName(alone)
+    return out.select("id", "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"), F.lit(recall).cast("double").alias("recall"))
+
+
+def _round(graph: DataFrame, nodes: DataFrame, dtype: str, k: int, limits: DataFrame | None, growing: bool = False) -> DataFrame:
+    after = materialise(keep_best(graph.unionByName(descend(graph, nodes, dtype, k, limits, growing).select("a", "b", "sim")), k, limits), "graph")
+    discard(graph)
+    return after
+
+
+def _listed_recall(graph: DataFrame, true: dict[int, tuple[int, int]], threshold: float, k: int, probes: range) -> float:
+    """Mean share of the probes' linked nodes that their lists hold; a list that is full of links counts as whole here."""
+    own = graph.where(F.col("a").between(probes.start, probes.stop - 1) & (F.col("sim") >= threshold))
+    held = {r.a: (r.n, r.d) for r in own.groupBy("a").agg(F.count("*").alias("n"), F.count_if(~F.col("b").between(probes.start, probes.stop - 1)).alias("d")).collect()}
+    shares = [1.0 if held.get(i, (0, 0))[0] >= k else min(1.0, held.get(i, (0, 0))[1] / d) for i, (_, d) in true.items() if i in probes and d]
+    return float(np.mean(shares or [1.0]))
+
+
+def _recall(found: DataFrame, true: dict[int, tuple[int, int]], probes: range) -> float:
+    """The least of the mean shares of links found, by kind of node; kinds of fewer than 20 nodes with links are averaged with the probes."""
+    ids = found.sparkSession.createDataFrame([(i,) for i, (n, _) in true.items() if n], "node long")
+    kinds: dict[str, list[float]] = {}
+    for r in found.join(F.broadcast(ids), "node").select("node", "n", "full").collect():
+        kind = "probe" if r.node in probes else "whole" if r.full else "listed"
+        kinds.setdefault(kind, []).append(min(r.n, true[r.node][0]) / true[r.node][0])
+    few = [x for kind, of in kinds.items() if kind == "probe" or len(of) < 20 for x in of]
+    return float(min(np.mean(of) for of in [few or [1.0], *[of for kind, of in kinds.items() if kind != "probe" and len(of) >= 20]]))
