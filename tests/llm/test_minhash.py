@@ -3,8 +3,9 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from inkmill.llm.minhash import OnePermutation, compare_with_next, fingerprints
+from inkmill.llm.minhash import OnePermutation, compare_with_next, fingerprints, in_order
 from inkmill.llm.queries import QUERIES
 from inkmill.llm.simhash import shingle_hashes
 
@@ -71,9 +72,22 @@ def test_query(spark, sf):
 def test_edge_rows(spark, parts):
     rows = [(5, "b b", 0), (5, "a", 0), (None, "z", 0), (None, None, 0), (1, "", 0), (2, "long " * 30000, 0), (2, "long " * 30000, 0), (-7, "é😀 x", 0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, part int")
-    texts = sorted(((i, t or "") for i, t, _ in rows), key=lambda x: (x[0] is None, -(x[0] or 0), x[1]))
+    hashed = {r.t: r.h for r in spark.createDataFrame([(t or "",) for _, t, _ in rows], "t string").select("t", F.xxhash64("t").alias("h")).collect()}
+    texts = sorted(((i, t or "") for i, t, _ in rows), key=lambda x: (x[0] is None, -(x[0] or 0), hashed[x[1]]))
     check(compare_with_next(docs, parts=parts).collect(), texts)
     check(compare_with_next(docs.where("doc_id = 1"), parts=parts).collect(), [(1, "")])
     assert compare_with_next(docs.limit(0), parts=parts).collect() == []
     fps = {r.id: bytes(r.fingerprint) for r in fingerprints(docs).collect()}
     assert fps[1] == bytes(OnePermutation().packed(OnePermutation().fingerprint(None)))
+
+
+@pytest.mark.parametrize("parts", [1, 4, 40])
+def test_ids_that_many_rows_share_are_split(spark, parts):
+    """A third of the rows has one id, a third none, a third one each; every row is once in the ring."""
+    rows = [(700 if i % 3 == 0 else None if i % 3 == 1 else i, f"text {i} " * 3) for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    hashed = {r.t: r.h for r in docs.select(F.col("text").alias("t"), F.xxhash64("text").alias("h")).collect()}
+    texts = sorted(rows, key=lambda x: (x[0] is None, -(x[0] or 0), hashed[x[1]]))
+    check(compare_with_next(docs, parts=parts).collect(), texts)
+    sizes = [r["count"] for r in in_order(docs, "doc_id", "text", parts).groupBy(F.spark_partition_id()).count().collect()]
+    assert parts == 1 or max(sizes) <= 3 * 1200 / parts + 2
