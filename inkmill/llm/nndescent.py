@@ -341,7 +341,7 @@ def _found(graph: DataFrame, ties: DataFrame, nodes: DataFrame, dtype: str, thre
 
 
 @scoped
-def near_embeddings(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = 0.9, k: int = 8, trees: int = 8, run_rows: int = 512, rounds: int = 1, target: float = 0.99, sample: int = 1000, most_trees: int = 4096, block_rows: int = 2048, seed: int = 8) -> DataFrame:
+def near_embeddings(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = 0.9, k: int = 8, trees: int = 8, run_rows: int = 2048, rounds: int = 1, target: float = 0.99, sample: int = 1000, most_trees: int = 4096, block_rows: int = 512, seed: int = 8) -> DataFrame:
     """Links between vectors with cosine >= ``threshold``, and their components.
 
     Returns one row per input row: id, n_links (other vectors linked directly,
