@@ -33,28 +33,55 @@ def grouping_frequencies(df: DataFrame, sets: list[list[str]], count: str = "n")
     return df.sparkSession.sql(f"select {', '.join(keys)}, count(*) as {count}, grouping_id({', '.join(keys)}) as gid from {view} group by grouping sets ({listed})")
 
 
-def nearest(rows: DataFrame, bases: DataFrame, page: list[str], row_id: str, base_id: str, coords: list[str], block_rows: int = 50_000) -> DataFrame:
+def nearest(rows: DataFrame, bases: DataFrame, page: list[str], row_id: str, base_id: str, coords: list[str], block_rows: int = 50_000, pair_limit: int = 5_000_000) -> DataFrame:
     """JN6: each row's nearest base of the same page by L1 distance, ties to the smallest base id: page, row id, base id, distance.
 
-    Both tables have the ``coords`` columns, without nulls; ids are whole numbers; rows of
-    pages without a base go. One shuffle of rows and bases; a page's bases meet
-    its rows in arrays, so no pair is ever a row. Pages of over ``block_rows``
-    rows are split, and their bases sent to each part.
+    Both tables have the ``coords`` columns, without nulls; ids are whole
+    numbers; rows of pages without a base go. Pages are counted first: those
+    with at most ``pair_limit`` pairs of a row and a base are joined and keep
+    the least pair, partly before the shuffle; in those with more, no pair is
+    ever a row (``_nearest_in_blocks``).
     """
-    sizes = rows.groupBy(*page).agg(F.ceil(F.count("*") / block_rows).cast("int").alias("_parts"))
+    counts = rows.groupBy(*page).agg(F.count("*").alias("_n")).join(bases.groupBy(*page).agg(F.count("*").alias("_m")), page)
+    hot = counts.where(F.col("_n") * F.col("_m") > pair_limit).select(*page)
+    listed = hot.limit(10_001).collect()
+    if len(listed) > 10_000:
+        return _nearest_in_blocks(rows, bases, page, row_id, base_id, coords, block_rows)
+    apart, few = [], (rows, bases)
+    if listed:
+        at = F.broadcast(rows.sparkSession.createDataFrame(listed, hot.schema))
+        few = tuple(df.join(at, page, "left_anti") for df in (rows, bases))
+        apart = [_nearest_in_blocks(*(df.join(at, page, "left_semi") for df in (rows, bases)), page, row_id, base_id, coords, block_rows)]
+    point = [F.col(c).cast("double") for c in coords]
+    left = few[0].select(*page, F.col(row_id), *[p.alias(f"_a{k}") for k, p in enumerate(point)])
+    right = few[1].select(*page, F.col(base_id), *[p.alias(f"_b{k}") for k, p in enumerate(point)])
+    distance = sum((F.abs(F.col(f"_a{k}") - F.col(f"_b{k}")) for k in range(1, len(coords))), F.abs(F.col("_a0") - F.col("_b0")))
+    best = left.join(right, page).groupBy(*page, row_id).agg(F.min(F.struct(distance.alias("d"), F.col(base_id).alias("b"))).alias("_best"))
+    found = best.select(*page, row_id, F.col("_best.b").alias(base_id), F.col("_best.d").alias("distance"))
+    return found.unionByName(apart[0]) if apart else found
+
+
+def _nearest_in_blocks(rows: DataFrame, bases: DataFrame, page: list[str], row_id: str, base_id: str, coords: list[str], block_rows: int) -> DataFrame:
+    """The same by arrays: a page's rows and bases are cut into parts of about ``block_rows``, each pair of parts meets in one task, and the best of a row's parts is taken."""
+    parts, blocks = (df.groupBy(*page).agg(F.ceil(F.count("*") / block_rows).cast("int").alias(c)) for df, c in ((rows, "_parts"), (bases, "_blocks")))
+    grid = parts.join(blocks, page)
     point = [F.col(c).cast("double").alias(c) for c in coords]
-    left = rows.select(*page, F.col(row_id).cast("long").alias("_id"), *point).join(sizes, page).withColumns({"_part": F.pmod(F.xxhash64("_id"), F.col("_parts")).cast("int"), "_side": F.lit(1)})
-    right = bases.select(*page, F.col(base_id).cast("long").alias("_id"), *point).join(sizes, page).withColumns({"_part": F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)), "_side": F.lit(0)})
-    columns = [*page, "_part", "_side", "_id", *coords]
-    both = left.select(*columns).unionByName(right.select(*columns))
+
+    def dealt(df: DataFrame, which: str, own: tuple[str, str], other: tuple[str, str], side: int) -> DataFrame:
+        placed = df.select(*page, F.col(which).cast("long").alias("_id"), *point).join(grid, page)
+        placed = placed.withColumn(own[0], F.pmod(F.xxhash64("_id"), F.col(own[1])).cast("int")).withColumn(other[0], F.explode(F.sequence(F.lit(0), F.col(other[1]) - 1)))
+        return placed.select(*page, "_part", "_block", F.lit(side).alias("_side"), "_id", *coords)
+
+    by_rows, by_bases = ("_part", "_parts"), ("_block", "_blocks")
+    both = dealt(rows, row_id, by_rows, by_bases, 1).unionByName(dealt(bases, base_id, by_bases, by_rows, 0))
     n = len(page)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, ids, points, ready = None, [], [], None
         for batch in batches:
-            keys = list(zip(*(batch.column(i).to_pylist() for i in range(n + 1)), strict=True))
-            side, own = batch.column(n + 1).to_pylist(), batch.column(n + 2).to_pylist()
-            place = np.column_stack([batch.column(n + 3 + k).to_numpy(zero_copy_only=False) for k in range(len(coords))]) if keys else np.empty((0, len(coords)))
+            keys = list(zip(*(batch.column(i).to_pylist() for i in range(n + 2)), strict=True))
+            side, own = batch.column(n + 2).to_pylist(), batch.column(n + 3).to_pylist()
+            place = np.column_stack([batch.column(n + 4 + k).to_numpy(zero_copy_only=False) for k in range(len(coords))]) if keys else np.empty((0, len(coords)))
             found, far = np.full(len(keys), -1, np.int64), np.zeros(len(keys))
             has, at = np.zeros(len(keys), bool), 0
             while at < len(keys):
@@ -75,13 +102,15 @@ def nearest(rows: DataFrame, bases: DataFrame, page: list[str], row_id: str, bas
                         best = d.argmin(axis=1)
                         found[k:end], far[k:end], has[k:end] = ready[0][best], d[np.arange(end - k), best], True
                 at = stop
-            out = [*batch.columns[:n], batch.column(n + 2), pa.array(found), pa.array(far)]
+            out = [*batch.columns[:n], batch.column(n + 3), pa.array(found), pa.array(far)]
             yield pa.RecordBatch.from_arrays(out, [*page, row_id, base_id, "distance"]).filter(pa.array(has))
 
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
     schema = ", ".join([*[f"`{p}` {kinds[p]}" for p in page], f"`{row_id}` long, `{base_id}` long, distance double"])
-    sorted_ = both.repartition(*page, "_part").sortWithinPartitions(*page, "_part", "_side", "_id")
-    out = sorted_.mapInArrow(run, schema)
+    order = [*page, "_part", "_block"]
+    found = both.repartition(*order).sortWithinPartitions(*order, "_side", "_id").mapInArrow(run, schema)
+    best = found.groupBy(*page, row_id).agg(F.min(F.struct(F.col("distance").alias("d"), F.col(base_id).alias("b"))).alias("_best"))
+    out = best.select(*page, row_id, F.col("_best.b").alias(base_id), F.col("_best.d").alias("distance"))
     return out.withColumns({row_id: F.col(row_id).cast(kinds[row_id]), base_id: F.col(base_id).cast(bases.schema[base_id].dataType)})
 
 

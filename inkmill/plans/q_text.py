@@ -95,9 +95,10 @@ _ERRORS = rf"""
     select doc_id, cast(position as int) as position, code from errors"""
 
 
-@query(_ERRORS)
+@query(f"select doc_id, code, count(*) as n, min(position) as first, cast(sum(position) as bigint) as places from ({_ERRORS}) group by doc_id, code")
 def q31_validate(spark, sf_dir):
-    return _errors(spark, sf_dir).select("doc_id", "position", "code")
+    """TOK1-3: errors of every text by kind, where the first is, and a sum over all places."""
+    return _errors(spark, sf_dir).groupBy("doc_id", "code").agg(F.count("*").alias("n"), F.min("position").cast("long").alias("first"), F.sum("position").alias("places"))
 
 
 @query(f"select code, count(*) as n, count(distinct doc_id) as docs from ({_ERRORS}) group by code")

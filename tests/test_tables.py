@@ -112,8 +112,8 @@ def test_integrity(spark):
     assert sorted(map(tuple, taxonomy.integrity(symbols, actions).collect())) == [("orphan", "Lost", ""), ("repeated", "A", "neume insert 1"), ("unknown insert", "L", "q")]
 
 
-@pytest.mark.parametrize("block_rows", [1, 7, 50_000])
-def test_nearest_against_a_loop(spark, block_rows):
+@pytest.mark.parametrize(("block_rows", "pair_limit"), [(1, -1), (7, -1), (50_000, -1), (50_000, 5_000_000), (5, 500)])
+def test_nearest_against_a_loop(spark, block_rows, pair_limit):
     rng = random.Random(block_rows)
     rows = [(rng.choice("pqr"), k, rng.randint(0, 9), float(rng.randint(0, 9))) for k in range(80)]
     bases = [(rng.choice("pq"), k, rng.randint(0, 9), float(rng.randint(0, 9))) for k in range(40)]
@@ -123,7 +123,7 @@ def test_nearest_against_a_loop(spark, block_rows):
         if near:
             want.add((page, k, min(near)[1], min(near)[0]))
     left, right = spark.createDataFrame(rows, "page string, id int, x int, y double"), spark.createDataFrame(bases, "page string, base long, x int, y double")
-    got = stats.nearest(left, right, ["page"], "id", "base", ["x", "y"], block_rows)
+    got = stats.nearest(left, right, ["page"], "id", "base", ["x", "y"], block_rows, pair_limit)
     assert set(map(tuple, got.collect())) == want and got.dtypes == [("page", "string"), ("id", "int"), ("base", "bigint"), ("distance", "double")]
     assert stats.nearest(left, right.limit(0), ["page"], "id", "base", ["x", "y"]).collect() == []
 
