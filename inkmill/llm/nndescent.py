@@ -7,9 +7,10 @@ Rounds of NN-descent then compare the neighbours of a node, forward and
 reverse, with each other, and keep each node's best k.
 
 A node whose whole list is over the threshold is saturated. Its list gets
-twice the room and is filled by comparing what surrounds it; what is saturated
-still is compared with its whole component, a pair of blocks at a time, so no
-cap cuts the number of links. Where a run holds more links than lists keep, the
+twice the room and is filled by comparing what surrounds it; a list whose new
+room is half full of links is taken for saturated again, and its node is
+compared with its whole component, a pair of blocks at a time, so no cap cuts
+the number of links. Where a run holds more links than lists keep, the
 run also gives ties, a spanning forest of its links, which join components
 that lists full of nearer nodes would leave apart.
 
@@ -341,7 +342,7 @@ def _found(graph: DataFrame, ties: DataFrame, nodes: DataFrame, dtype: str, thre
 
 
 @scoped
-def near_embeddings(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = 0.9, k: int = 8, trees: int = 8, run_rows: int = 2048, rounds: int = 1, target: float = 0.99, sample: int = 1000, most_trees: int = 4096, block_rows: int = 512, seed: int = 8) -> DataFrame:
+def near_embeddings(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = 0.9, k: int = 8, trees: int = 10, run_rows: int = 2048, rounds: int = 1, target: float = 0.99, sample: int = 1000, most_trees: int = 4096, block_rows: int = 512, seed: int = 8) -> DataFrame:
     """Links between vectors with cosine >= ``threshold``, and their components.
 
     Returns one row per input row: id, n_links (other vectors linked directly,
@@ -403,7 +404,7 @@ def near_embeddings(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
         if limits.where("n < most").limit(1).count():
             graph = _round(graph, nodes, dtype, k, limits, growing=True)
             limits = _limits(graph, threshold, k)
-        result = _found(graph, ties, nodes, dtype, threshold, limits.where("n >= most"), block_rows, probes)
+        result = _found(graph, ties, nodes, dtype, threshold, limits.where(F.col("n") >= k + k // 2), block_rows, probes)
         if not planted:
             break
         recall = _recall(result, true, probes)
