@@ -143,13 +143,13 @@ _FAMILIES = [("Brand#1", "Brand#2", 0), ("Brand#3", "Brand#2", 1), ("Brand#4", "
     with families(member, representative, ord) as (values ('Brand#1', 'Brand#2', 0), ('Brand#3', 'Brand#2', 1), ('Brand#4', 'Brand#5', 2), ('Brand#1', 'Brand#5', 3), ('Brand#98', 'Brand#99', 4)),
     last as (select member, arg_max(representative, ord) as representative from families group by member),
     known as (select distinct p_brand from part union select 'Brand#98'),
-    counts as (select p_brand, count(*) as n from part where p_size > 25 group by p_brand),
+    counts as (select p_brand, count(*) as n from part group by p_brand),
     folded as (select coalesce(representative, k.p_brand) as family, cast(coalesce(sum(n), 0) as bigint) as n from known k left join counts c on c.p_brand = k.p_brand left join last on member = k.p_brand group by 1)
     select family, n, round(100.0 * n / sum(n) over (), 6) as pct, row_number() over (order by n desc, family) as rank from folded""")
 def q28_family_fold(spark, sf_dir):
     part = table(spark, sf_dir, "part")
     known = part.select("p_brand").union(spark.createDataFrame([("Brand#98",)], "p_brand string"))
-    counts = part.where("p_size > 25").groupBy("p_brand").agg(F.count("*").alias("n"))
+    counts = part.groupBy("p_brand").agg(F.count("*").alias("n"))
     folded = stats.fold_families(counts, known, spark.createDataFrame(_FAMILIES, "member string, representative string, ord int"), "p_brand", "n")
     total = folded.agg(F.sum("n").alias("total"))
     shared = folded.crossJoin(F.broadcast(total)).select("family", "n", F.round(F.lit(100.0) * F.col("n") / F.col("total"), 6).alias("pct"))
@@ -209,10 +209,10 @@ _LIMITS = [("PROMO", 0.65, 35), ("SMALL", 0.75, 40), ("LARGE", 0.78, 5)]
 
 @query("""
     with limits(icon, threshold, priority) as (values ('PROMO', 0.65, 35), ('SMALL', 0.75, 40), ('LARGE', 0.78, 5))
-    select p_brand as group_id, cast(coalesce(min(threshold), 0.75) as double) as threshold, cast(coalesce(max(priority), 10) as int) as priority
-    from (select distinct p_brand, p_type from part where p_size > 45) left join limits on icon = p_type group by p_brand""")
+    select group_id, cast(coalesce(min(threshold), 0.75) as double) as threshold, cast(coalesce(max(priority), 10) as int) as priority
+    from (select distinct p_brand || ' ' || p_size as group_id, p_type from part) left join limits on icon = p_type group by group_id""")
 def q39_threshold_priority(spark, sf_dir):
-    groups = table(spark, sf_dir, "part").where("p_size > 45").select(F.col("p_brand").alias("group_id"), F.col("p_type").alias("icon")).distinct()
+    groups = table(spark, sf_dir, "part").select(F.concat_ws(" ", "p_brand", "p_size").alias("group_id"), F.col("p_type").alias("icon")).distinct()
     return stats.group_limits(groups, spark.createDataFrame(_LIMITS, "icon string, threshold double, priority int"), 0.75, 10)
 
 
@@ -234,11 +234,11 @@ def q40_taxonomy(spark, sf_dir):
 
 
 @query("""
-    with m as (select distinct p_type as icon, p_brand as grp from part where p_size > 45)
-    select icon, count(*) as n from m where icon <> 'PROMO' group by icon having count(*) <> 1""")
+    with m as (select distinct p_type || ' ' || p_size as icon, p_brand as grp from part)
+    select icon, count(*) as n from m where icon <> 'PROMO 7' group by icon having count(*) <> 1""")
 def q41_membership(spark, sf_dir):
-    members = table(spark, sf_dir, "part").where("p_size > 45").select(F.col("p_type").alias("icon"), F.col("p_brand").alias("grp")).distinct()
-    return taxonomy.misplaced(members, spark.createDataFrame([("PROMO",)], "icon string"))
+    members = table(spark, sf_dir, "part").select(F.concat_ws(" ", "p_type", "p_size").alias("icon"), F.col("p_brand").alias("grp")).distinct()
+    return taxonomy.misplaced(members, spark.createDataFrame([("PROMO 7",)], "icon string"))
 
 
 @query("""
