@@ -53,6 +53,13 @@ def materialise(df: DataFrame, label: str = "step", buckets: int | None = None,
     return table
 
 
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder for files that a writer leaves; it goes as a written table does."""
+    path = f"{shared_folder(spark)}/{label}_{uuid.uuid4().hex}"
+    (getattr(_scopes, "stack", None) or [_left])[-1].append(_Written(path, None, spark))
+    return path
+
+
 class _Written:
     """Place of a written table, known before the job that writes it starts."""
 
