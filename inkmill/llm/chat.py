@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkmill.llm.work import materialise
+from inkmill.llm.work import materialise, scoped
 
 #: Turns a block holds by number; rendered text comes in segments of as many.
 BLOCK_TURNS = 256
@@ -58,6 +58,7 @@ def prefixes(turns: DataFrame) -> DataFrame:
     return joined.select("conv", "position", F.col("x1").bitwiseXOR(F.col("b1")).alias("p1"), F.col("x2").bitwiseXOR(F.col("b2")).alias("p2"), "n_turns")
 
 
+@scoped
 def collapse(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", block_turns: int = BLOCK_TURNS) -> DataFrame:
     """Fate of every conversation: conv, n_turns, kept, reason (maximal, prefix, or copy).
 
@@ -99,6 +100,7 @@ def render(turns: DataFrame, kept: DataFrame, conv_col: str = "conv_id", turn_co
     return sizes.select("conv", number.alias("segment"), "turns", "rendered")
 
 
+@scoped
 def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", block_turns: int = BLOCK_TURNS) -> DataFrame:
     """Collapse snapshots, then render what stays; edge cases as in ``collapse`` and ``render``."""
     columns = (conv_col, turn_col, role_col, text_col, block_turns)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkmill.llm.work import materialise, same_or_null
+from inkmill.llm.work import materialise, same_or_null, scoped
 
 _WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -107,6 +107,7 @@ def train_calibrated(rows: list[tuple[np.ndarray, int]], s: Settings) -> tuple[f
     return scale * bias + offset, idx, scale * w
 
 
+@scoped
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", settings: Settings = Settings()) -> tuple[float, np.ndarray, np.ndarray]:
     """Learn from the labelled rows of ``docs``: bias, feature numbers, weights.
 
