@@ -82,7 +82,7 @@ def _delete(spark: SparkSession, folder: str) -> None:
 
 
 def _read_by(result) -> set[str]:
-    """Last parts of the paths that a result's plan scans."""
+    """The parts of all paths that a result's plan scans; a scan may lie below a scratch folder."""
     if not isinstance(result, DataFrame):
         return set().union(*map(_read_by, result)) if isinstance(result, tuple | list) else set()
     leaves, found = result._jdf.queryExecution().analyzed().collectLeaves(), set()
@@ -90,7 +90,7 @@ def _read_by(result) -> set[str]:
         leaf = leaves.apply(k)
         if leaf.getClass().getSimpleName() == "LogicalRelation":
             paths = leaf.relation().location().rootPaths()
-            found |= {paths.apply(i).getName() for i in range(paths.size())}
+            found |= {part for i in range(paths.size()) for part in paths.apply(i).toString().split("/")}
     return found
 
 
