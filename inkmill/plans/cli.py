@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from inkmill.functions.boxes import audit_passed
-from inkmill.functions.text import GLYPH_RANGES, in_ranges, local_file_url, parse_assignments, parse_codepoint, parse_page_ranges
+from inkmill.functions.text import GLYPH_RANGES, in_ranges, local_file_url, pages_from_bounds, parse_assignments, parse_codepoint, parse_page_ranges
 from inkmill.operators import annotate, layout, manifest, matching, shapes, stats, taxonomy, validate
-from inkmill.operators.work import broadcast_if_small, materialise, materialise
+from inkmill.operators.work import broadcast_if_small, materialise, scoped
 from inkmill.sources import files, sinks
 
 #: Sizes and limits that the tools use unless told otherwise.
@@ -51,6 +52,34 @@ def plan_pages(a) -> None:
     manifest.plan_chunks(pages, files.read_manifest(spark, a.manifest), "book_id", "page_number", a.chunk).orderBy("chunk_first").show(1000, False)
 
 
+def _hook(name: str):
+    """The caller's function, named as module:function."""
+    module, _, function = name.partition(":")
+    return getattr(importlib.import_module(module), function)
+
+
+@scoped
+def render(a) -> None:
+    """Draw the pages that the manifest lacks, or all with --force, as PNG files, and add them to the manifest."""
+    spark = _spark()
+    pdfs = files.pdf_files(spark, a.pdfs)
+    counts = files.page_counts(pdfs, _hook(a.page_counter))
+    planned = counts.select("book_id", F.explode(pages_from_bounds(F.lit(a.first), F.lit(a.last), "pages")).alias("page_number"))
+    known = files.read_manifest(spark, a.manifest, may_be_missing=True)
+    chunks = manifest.plan_chunks(planned, known.where("false") if a.force else known, "book_id", "page_number", a.chunk)
+    directions = files.read_directions(spark, a.directions) if a.directions else files.directions(spark, {})
+    drawn = materialise(files.render_pages(pdfs, chunks, _hook(a.renderer), a.root, directions, a.dpi, a.direction, a.mask), "rendered")
+    sinks.write_pages(drawn)
+    sinks.write_manifest(spark, a.manifest, drawn.drop("png"))
+
+
+def draw_glyphs(a) -> None:
+    """Glyph tables from fonts, by the caller's engine."""
+    spark = _spark()
+    fonts = spark.read.format("binaryFile").load(a.font)
+    files.font_glyphs(fonts, _hook(a.cmap), _hook(a.renderer), size=a.pixels).write.mode("overwrite").parquet(a.output)
+
+
 def segment(a) -> None:
     spark = _spark()
     out = layout.segment(files.page_images(spark, a.pages, a.book, a.limit), a.direction, a.min_row_height)
@@ -232,6 +261,8 @@ def parser() -> argparse.ArgumentParser:
 
     glyph = (need("--glyphs"), need("--symbol-map"), opt("--aliases"), opt("--shape-threshold", 0.86, float), on("--no-mirror"), many("--codepoint-range"), ("--family-alias", {"action": "append", "type": _families, "default": []}))
     tool(plan_pages, "plan", need("--book"), need("--pages"), need("--manifest"), opt("--chunk", 25, int))
+    tool(render, "render", many("--pdfs"), need("--renderer"), need("--page-counter"), need("--root"), need("--manifest"), opt("--directions"), opt("--direction", "ltr"), opt("--dpi", 400, int), opt("--first", 0, int), opt("--last", 0, int), opt("--chunk", 25, int), on("--mask"), on("--force"))
+    tool(draw_glyphs, "glyphs", many("--font"), need("--cmap"), need("--renderer"), opt("--pixels", 400, int), need("--output"))
     tool(segment, "segment", many("--pages"), many("--book"), opt("--limit", None, int), opt("--direction", "ltr"), opt("--min-row-height", 3, int), need("--output"), opt("--html"))
     tool(match, "match", *glyph, many("--pages"), many("--book"), opt("--limit", None, int), many("--size", float, list(MATCH_SIZES_PT)), opt("--dpi", 300, int), opt("--threshold", 0.75, float), opt("--iou", 0.3, float), on("--score-only-nms"), many("--icon-threshold"), on("--no-icon-thresholds"), on("--no-complex-first"), on("--all-sizes"), need("--output"))
     tool(count_frequencies, "frequencies", need("--manifest"), need("--glyphs"), many("--pages"), opt("--book"), on("--all"), opt("--sample", 100, int), opt("--seed", 42, int), opt("--families"), on("--no-gradient"), many("--size", float, list(MATCH_SIZES_PT)), opt("--dpi", 300, int), opt("--threshold", 0.65, float), need("--output"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from inkmill import schemas
 from inkmill.functions import kernels
-from inkmill.functions.text import normal_key, page_path, parse_codepoint, resolve_direction
+from inkmill.functions.text import GLYPH_RANGES, normal_key, page_path, parse_codepoint, resolve_direction
 from inkmill.operators.stats import head_per_key, seeded_sample
 from inkmill.sources.images import png
 
@@ -62,23 +62,26 @@ def render_pages(pdfs: DataFrame, chunks: DataFrame, rasterise: Callable[[bytes,
     ``chunks``: book_id, chunk_first, chunk_last. ``rasterise(pdf, page, dpi)``
     gives the gray page; no renderer is bundled. Direction, mask, hash and ink
     ratio are taken where the page is drawn (PRJ2, PRJ3, PRJ5, PRJ6, IMG5, IMG6).
+    A PDF travels once for each of its chunks, not for each page.
     """
-    wanted = chunks.withColumn("page_number", F.explode(F.sequence(F.col("chunk_first").cast("int"), F.col("chunk_last").cast("int"))))
-    wanted = resolve_direction(wanted.select("book_id", "page_number"), directions, direction)
-    jobs = pdfs.join(wanted, "book_id").select("book_id", "page_number", "direction", "content", page_path(root, "book_id", "page_number").alias("image_path"))
+    wanted = chunks.select("book_id", "chunk_first", F.explode(F.sequence(F.col("chunk_first").cast("int"), F.col("chunk_last").cast("int"))).alias("page_number"))
+    wanted = resolve_direction(wanted, directions, direction)
+    page = F.struct("page_number", "direction", page_path(root, "book_id", "page_number").alias("image_path"))
+    listed = wanted.groupBy("book_id", "chunk_first").agg(F.array_sort(F.collect_list(page)).alias("listed"))
+    jobs = pdfs.join(listed, "book_id").select("book_id", "listed", "content")
     out = schemas.MANIFEST + ", png binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
 
-        for b in batches:
-            for r in b.to_pylist():
-                image = rasterise(r["content"], r["page_number"], dpi)
-                side = kernels.direction(image) if r["direction"] == "auto" else r["direction"]
+        for job in (batch.slice(k, 1).to_pylist()[0] for batch in batches for k in range(batch.num_rows)):
+            for of in job["listed"]:
+                image = rasterise(job["content"], of["page_number"], dpi)
+                side = kernels.direction(image) if of["direction"] == "auto" else of["direction"]
                 if mask:
                     image = kernels.apply_mask(image, kernels.text_mask(image))
                 data = png(image)
-                row = {"book_id": r["book_id"], "page_number": r["page_number"], "image_path": r["image_path"], "sha256": hashlib.sha256(data).hexdigest(), "dpi": dpi, "width": image.shape[1], "height": image.shape[0], "masked": mask, "direction": side, "ink_ratio": kernels.ink_ratio(image), "png": data}
+                row = {"book_id": job["book_id"], "page_number": of["page_number"], "image_path": of["image_path"], "sha256": hashlib.sha256(data).hexdigest(), "dpi": dpi, "width": image.shape[1], "height": image.shape[0], "masked": mask, "direction": side, "ink_ratio": kernels.ink_ratio(image), "png": data}
                 yield pa.RecordBatch.from_pylist([row], kinds)
 
     types = {"string": pa.string(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "binary": pa.binary()}
@@ -106,12 +109,17 @@ def frequency_pages(manifest: DataFrame, sample: int | None = None, seed: str =
     return seeded_sample(rows, "image_path", sample, seed) if sample else rows
 
 
-def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """SRC8: a manifest CSV with typed columns; missing ones are null but for ink_ratio (1.0) and direction (ltr)."""
+def read_manifest(spark: SparkSession, path: str, *, may_be_missing: bool = False) -> DataFrame:
+    """SRC8: a manifest CSV with typed columns; missing ones are null but for ink_ratio (1.0) and direction (ltr).
+
+    A missing file raises, or is an empty manifest where it ``may_be_missing``.
+    """
     place = spark._jvm.org.apache.hadoop.fs.Path
     store = place(path).getFileSystem(spark._jsc.hadoopConfiguration())
     if not store.exists(place(path)) and store.exists(place(path + ".next/_SUCCESS")):  # a writer stopped between two renames
         path += ".next"
+    if may_be_missing and not store.exists(place(path)):
+        return spark.createDataFrame([], schemas.MANIFEST)
     raw = spark.read.option("header", "true").csv(path)
     columns = []
     for name, kind in (c.split() for c in schemas.MANIFEST.split(", ")):
@@ -191,6 +199,41 @@ def read_glyphs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.GLYPH).parquet(path)
 
 
+#: Glyphs of a font that one task draws at a time.
+GLYPH_CHUNK = 64
+
+
+def font_glyphs(fonts: DataFrame, cmap: Callable[[bytes], dict[int, str]], draw: Callable[[bytes, int, int], np.ndarray | None], ranges=GLYPH_RANGES, size: int = 400, finer: int = 4) -> DataFrame:
+    """SRC23, SRC26, IMG9: glyph bitmaps of fonts by the caller's engine; no font engine is bundled.
+
+    ``fonts``: content. ``cmap(font)`` names the code points a font has;
+    ``draw(font, code point, pixels)`` gives a gray glyph, or None for one
+    without an outline. Glyphs in range are drawn ``finer`` times as large,
+    shrunk by area and split at 200; a font travels once for each chunk of
+    glyphs. Of fonts that share a code point, each gives a row.
+    """
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for font in (x for batch in batches for x in batch.column(0).to_pylist()):
+            named = sorted((cp, name) for cp, name in cmap(font).items() if cp >= 0x20 and (not ranges or any(lo <= cp <= hi for lo, hi in ranges)))
+            chunks = [[{"cp": cp, "name": name} for cp, name in named[k : k + GLYPH_CHUNK]] for k in range(0, len(named), GLYPH_CHUNK)]
+            yield pa.RecordBatch.from_arrays([pa.array([font] * len(chunks), pa.binary()), pa.array(chunks, pa.list_(pa.struct([("cp", pa.int32()), ("name", pa.string())])))], ["content", "glyphs"])
+
+    def paint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in (r for batch in batches for r in batch.to_pylist()):
+            out = []
+            for g in row["glyphs"]:
+                large = draw(row["content"], g["cp"], size * finer)
+                if large is not None and large.size:
+                    h, w = (max(1, s // finer) for s in large.shape)
+                    small = np.where(kernels.resample(large, h, w) > 200, 255, 0).astype(np.uint8)
+                    out.append({"cp": g["cp"], "glyph_name": g["name"], "width": w, "height": h, "data": small.tobytes()})
+            yield pa.RecordBatch.from_pylist(out, pa.schema([("cp", pa.int32()), ("glyph_name", pa.string()), ("width", pa.int32()), ("height", pa.int32()), ("data", pa.binary())]))
+
+    listed = fonts.select("content").mapInArrow(scan, "content binary, glyphs array<struct<cp:int,name:string>>")
+    return listed.repartition(F.xxhash64("glyphs")).mapInArrow(paint, schemas.GLYPH)
+
+
 def icon_files(spark: SparkSession, folders: list[str]) -> DataFrame:
     """SRC24: each icon's file, in the first folder that has it: icon, path."""
     frames = [spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.gif").load(f).select("path", F.lit(k).alias("rank")) for k, f in enumerate(folders)]

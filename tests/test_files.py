@@ -124,6 +124,58 @@ def test_render_hook(spark, tmp_path):
     assert files.page_images(spark, [str(tmp_path / "out")]).count() == 2 and files.pdf_files(spark, []).count() == 0
 
 
+@pytest.fixture
+def engine(monkeypatch):
+    """Drawing functions in a module that command lines can name; made here, so that they travel by value."""
+    import sys
+    import types
+
+    def draw(data, page, dpi):
+        image = np.full((40, 100), 255, np.uint8)
+        image[10:30, 70:95] = 0
+        return image
+
+    def cmap(data):
+        return {cp: f"g{cp}" for cp in (0x10, 0x20, *range(0x41, 0x41 + data[0]), 0x3000)}
+
+    def glyph(data, cp, pixels):
+        if cp in (0x20, 0x42):
+            return None
+        image = np.full((pixels, pixels // 2), 255, np.uint8)
+        image[: pixels // 2, : 4 * (cp - 0x40)] = 0
+        return image
+
+    module = types.ModuleType("test_engine")
+    module.draw, module.count, module.cmap, module.glyph = draw, lambda data: data[0], cmap, glyph
+    monkeypatch.setitem(sys.modules, "test_engine", module)
+    return module
+
+
+def test_render_command(spark, tmp_path, engine):
+    (tmp_path / "pdf").mkdir()
+    (tmp_path / "pdf" / "one.pdf").write_bytes(b"\x03")
+    (tmp_path / "d.json").write_text(json.dumps({"one": {"page_0002": "rtl"}}))
+    command = ["render", "--pdfs", str(tmp_path / "pdf"), "--renderer", "test_engine:draw", "--page-counter", "test_engine:count", "--root", str(tmp_path / "out"), "--manifest", str(tmp_path / "m"), "--directions", str(tmp_path / "d.json"), "--chunk", "2"]
+    cli.main([*command, "--last", "2"])
+    read = lambda: sorted((r.page_number, r.direction, r.dpi, r.width) for r in files.read_manifest(spark, str(tmp_path / "m")).collect())
+    assert read() == [(1, "ltr", 400, 100), (2, "rtl", 400, 100)]
+    cli.main([*command, "--dpi", "300"])  # only the page that is missing
+    assert read() == [(1, "ltr", 400, 100), (2, "rtl", 400, 100), (3, "ltr", 300, 100)]
+    cli.main([*command, "--dpi", "300", "--force"])
+    assert {r[2] for r in read()} == {300} and files.page_images(spark, [str(tmp_path / "out")]).count() == 3
+
+
+def test_font_glyphs(spark, tmp_path, engine):
+    (tmp_path / "font.bin").write_bytes(b"\x03")
+    cli.main(["glyphs", "--font", str(tmp_path / "font.bin"), "--cmap", "test_engine:cmap", "--renderer", "test_engine:glyph", "--pixels", "20", "--output", str(tmp_path / "g")])
+    rows = files.read_glyphs(spark, str(tmp_path / "g")).orderBy("cp").collect()
+    assert [(r.cp, r.glyph_name, r.width, r.height) for r in rows] == [(0x41, "g65", 10, 20), (0x43, "g67", 10, 20)]
+    assert [int((np.frombuffer(r.data, np.uint8) == 0).sum()) for r in rows] == [10, 30]
+    many = files.font_glyphs(spark.createDataFrame([(bytearray([200]),)], "content binary"), engine.cmap, lambda *a: np.zeros((8, 8), np.uint8), None, size=2)
+    assert many.count() == 202  # without ranges all from U+0020 on
+    assert files.font_glyphs(many.where("false").selectExpr("data as content"), engine.cmap, engine.glyph).count() == 0
+
+
 def test_configuration_readers(spark, tmp_path, symbol_map):
     (tmp_path / "c.yaml").write_text("names: {1: b, 0: a}\n")
     (tmp_path / "l.yaml").write_text("names: [a, b]\n")
