@@ -97,7 +97,7 @@ _ERRORS = rf"""
 
 @query(f"select doc_id, code, count(*) as n, min(position) as first, cast(sum(position) as bigint) as places from ({_ERRORS}) group by doc_id, code")
 def q31_validate(spark, sf_dir):
-    """TOK1-3: errors of every text by kind, where the first is, and a sum over all places."""
+    """TOK1-3, JN15: errors of every text by kind, where the first is, and a sum over all places."""
     return _errors(spark, sf_dir).groupBy("doc_id", "code").agg(F.count("*").alias("n"), F.min("position").cast("long").alias("first"), F.sum("position").alias("places"))
 
 
