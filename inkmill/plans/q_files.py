@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from inkmill import schemas
 from inkmill.functions.boxes import audit_passed
 from inkmill.functions.text import codepoint_key
-from inkmill.operators import annotate
+from inkmill.operators import annotate, matching
 from inkmill.operators.work import scoped, scratch_folder
 from inkmill.plans.registry import query, table
 from inkmill.sources import files, sinks
@@ -187,3 +187,33 @@ def q81_found_files(spark, sf_dir):
     pdfs = files.pdf_files(spark, [f"{folder}/top"]).select(F.lit("pdf").alias("kind"), F.url_decode("book_id").alias("name"), F.regexp_extract("path", "([^/]*)/[^/]*$", 1).alias("folder"), F.col("content").cast("string").alias("content"))
     icons = files.icon_files(spark, [f"{folder}/first", f"{folder}/second"]).select(F.lit("icon"), "icon", F.regexp_extract("path", "([^/]*)/[^/]*$", 1), F.lit(""))
     return pdfs.union(icons)
+
+
+@query("""
+    with parts as (select n_regionkey as k, string_agg(printf('U+%04X', n_nationkey + 65), ' ' order by n_nationkey) as points, string_agg(n_name, ', ' order by n_nationkey) as names, count(*) as n from nation group by n_regionkey),
+    events as (select event_type as label, count(*) as n, row_number() over (order by count(*) desc, unicode(event_type)) as rank from events group by event_type)
+    select 'families' as report, '<!doctype html><meta charset=utf-8><ul>' || string_agg('<li>f' || k || ': ' || points || '</li>', '' order by k) || '</ul>' as text from parts
+    union all select 'matches', '<!doctype html><meta charset=utf-8><table>' || string_agg('<tr><td>f' || k || '</td><td>' || names || '</td><td><span class="count">' || n || '</span></td><td><div class="bar" style="width:'
+        || cast(round_even(180 * n / (select max(n) from parts), 0) as int) || 'px"></div></td><td>' || points || '</td></tr>', '' order by n desc, k) || '</table>' from parts
+    union all select 'frequencies', string_agg(printf('%4d %-24s %8d ', rank, label, n) || repeat('#', greatest(1, least(20, cast(floor(20 * n / (select max(n) from events)) as int)))), chr(10) order by rank) from events
+    union all select 'sheet', '<!doctype html><meta charset=utf-8><h2>rest</h2>' || string_agg(case when n_nationkey >= 0 and n_regionkey = 0 then '<figure>' || case when n_nationkey % 2 = 0 then '<img src="' || n_nationkey || '.png">' else '' end || '<figcaption>' || n_nationkey || ' ' || n_name || '</figcaption></figure>' end, '' order by n_nationkey)
+        || '<h2>mode</h2>' || string_agg(case when n_regionkey = 1 then '<figure>' || case when n_nationkey % 2 = 0 then '<img src="' || n_nationkey || '.png">' else '' end || '<figcaption>' || n_nationkey || ' ' || n_name || '</figcaption></figure>' end, '' order by n_nationkey) from nation""")
+def q88_reports(spark, sf_dir):
+    """SNK8, SNK10, SNK11, SNK21: reports of result tables as text: families, matches, frequencies and the reference sheet, whose unlisted groups are left out."""
+    nation = table(spark, sf_dir, "nation")
+    group = F.concat(F.lit("f"), "n_regionkey")
+    point = (F.col("n_nationkey") + 65).cast("long")
+    groups = nation.groupBy(group.alias("id")).agg(F.min(point).alias("representative"), F.array_sort(F.collect_list(point)).alias("members"))
+    names = nation.groupBy(group.alias("id")).agg(F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))), lambda x: x["n_name"]).alias("icons"))
+    found = table(spark, sf_dir, "events").select(F.col("user_id").alias("page"), F.col("event_type").alias("label"))
+    known = found.select("label").distinct().select("label", F.ascii("label").alias("cp"))
+    kind = F.when(F.col("n_regionkey") == 0, "rest").when(F.col("n_regionkey") == 1, "mode").otherwise("other")
+    classes = nation.select(F.col("n_nationkey").alias("class_id"), F.concat_ws(".", kind, "n_name").alias("name"))
+    urls = nation.where("n_nationkey % 2 = 0").select(F.col("n_name").alias("icon"), F.concat("n_nationkey", F.lit(".png")).alias("url"))
+    texts = [
+        ("families", sinks.family_report(groups)),
+        ("matches", sinks.match_report(groups, nation.groupBy(group.alias("label")).agg(F.count("*").alias("n")), names)),
+        ("frequencies", sinks.frequency_report(matching.frequency_table(matching.page_counts(found), known, 1000))[1]),
+        ("sheet", sinks.reference_sheet(classes, urls)),
+    ]
+    return spark.createDataFrame(texts, "report string, text string")

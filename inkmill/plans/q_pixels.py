@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from inkmill.functions import kernels
 from inkmill.functions.text import GLYPH_RANGES
 from inkmill.operators import matching
 from inkmill.operators.work import materialise, scoped, scratch_folder
@@ -111,3 +115,53 @@ def q85_rendered_pages(spark, sf_dir):
     sinks.write_pages(drawn)
     images = files.page_images(spark, [root]).select("book_id", "page_number", "width", "height", "channels", F.sha2(F.hex("data"), 256).alias("digest"))
     return images.join(drawn.select("book_id", "page_number", "direction", "ink_ratio"), ["book_id", "page_number"])
+
+
+_PAGE_CELLS = _cells("supplier", "s_suppkey as page", "s_suppkey", "s_nationkey", 16)
+
+
+def _drawn_pages(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("page"), _drawn("s_suppkey", "s_nationkey", 16).alias("data"))
+
+
+@query(f"""
+    with recursive cells as (select page, i, r, c from ({_PAGE_CELLS}) where ink),
+    reach as (select page, i as start, i, r, c from cells union select a.page, a.start, b.i, b.r, b.c from reach a join cells b on a.page = b.page and abs(a.r - b.r) <= 1 and abs(a.c - b.c) <= 1),
+    labels as (select page, i, r, c, min(start) as label from reach group by all)
+    select page, cast(min(c) as int) as x, cast(min(r) as int) as y, cast(max(c) - min(c) + 1 as int) as w, cast(max(r) - min(r) + 1 as int) as h, cast(count(*) as int) as area, round(sum(r) / count(*), 6) as mean_y from labels group by page, label""")
+def q86_components(spark, sf_dir):
+    """IMG7: the 8-connected components of drawn pages."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for page, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found = kernels.components(255 - np.frombuffer(data, np.uint8).reshape(16, 16))
+                columns = [pa.array([page] * len(found), pa.int64()), *[pa.array(found[:, k].astype(np.int32)) for k in range(5)], pa.array(found[:, 5])]
+                yield pa.RecordBatch.from_arrays(columns, ["page", "x", "y", "w", "h", "area", "mean_y"])
+
+    found = _drawn_pages(spark, sf_dir).mapInArrow(run, "page long, x int, y int, w int, h int, area int, mean_y double")
+    return found.withColumn("mean_y", F.round("mean_y", 6))
+
+
+@query(f"""
+    with cells as ({_PAGE_CELLS}), kept as (select *, ink and (r + page) % 3 > 0 as shown from cells), spans as (select page, min(r) as y1, max(r) as y2, min(c) as x1, max(c) as x2 from kept where shown group by page)
+    select page, sha256(string_agg(case when shown then '00' else 'FF' end, '' order by i)) as masked, cast(max(y2 - y1 + 1) as int) as crop_height, cast(max(x2 - x1 + 1) as int) as crop_width,
+           sha256(string_agg(case when shown then '00' else 'FF' end, '' order by i) filter (r between y1 and y2 and c between x1 and x2)) as crop,
+           case when avg(c) filter (shown) > 8 then 'rtl' else 'ltr' end as direction, count(*) filter (shown) / 256 as ink
+    from kept join spans using (page) group by page""")
+def q87_masked_pages(spark, sf_dir):
+    """IMG6, IMG10, PRJ3, PRJ6: pages with rows masked out, cropped to what is left, and their direction and ink."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for page, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                shown = ((np.arange(16) + page) % 3 > 0)[:, None] & np.ones(16, bool)
+                image = kernels.apply_mask(np.frombuffer(data, np.uint8).reshape(16, 16), np.where(shown, 255, 0))
+                crop = kernels.crop_to_ink(image)
+                out.append({"page": page, "masked": image.tobytes(), "crop": crop.tobytes(), "crop_height": crop.shape[0], "crop_width": crop.shape[1], "direction": kernels.direction(image), "ink": kernels.ink_ratio(image)})
+            yield pa.RecordBatch.from_pylist(out, schema)
+
+    schema = pa.schema([("page", pa.int64()), ("masked", pa.binary()), ("crop", pa.binary()), ("crop_height", pa.int32()), ("crop_width", pa.int32()), ("direction", pa.string()), ("ink", pa.float64())])
+    found = _drawn_pages(spark, sf_dir).mapInArrow(run, "page long, masked binary, crop binary, crop_height int, crop_width int, direction string, ink double")
+    return found.withColumns({k: F.sha2(F.hex(k), 256) for k in ("masked", "crop")})
