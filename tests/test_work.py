@@ -70,3 +70,17 @@ def test_a_manifest_outlives_a_stopped_writer(spark, tmp_path):
     sinks.write_manifest(spark, path, spark.createDataFrame([("book", 2, *row[2:])], schemas.MANIFEST))
     assert sorted(r.page_number for r in files.read_manifest(spark, path).collect()) == [1, 2]
     assert sorted(os.listdir(tmp_path)) == ["m"]
+
+
+def test_results_below_a_scratch_folder_keep_it(spark):
+    @work.scoped
+    def read_back():
+        for folder in (first, second):
+            folder.append(work.scratch_folder(spark, "below"))
+            spark.range(3).write.parquet(f"{folder[0]}/deep/table")
+        return spark.read.parquet(f"{first[0]}/deep/table")
+
+    first, second = [], []
+    assert read_back().count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(f"{second[0]}/deep/table")
