@@ -273,9 +273,15 @@ def q45_topk(spark, sf_dir):
     select user_id as page, count(*) as detections, count(*) filter (event_type = 'error') as empty_groups, cast(coalesce(avg(round(value, 2)), 0) as double) > 50 as sure
     from events group by user_id""")
 def q51_page_metrics(spark, sf_dir):
-    """AGG14, AGG18, AGG19: per-page metrics from nested detections."""
-    item = F.struct("event_type", "value")
-    pages = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("page")).agg(F.collect_list(item).alias("items"))
+    """AGG14, AGG18, AGG19: per-page metrics from nested detections.
+
+    Sums of doubles depend on their order, so a page's detections are taken in
+    the order of their ids. Values round as value * 100 does; nulls have no
+    part in the mean, which is 0 without values.
+    """
+    item = F.struct("event_id", "event_type", "value")
+    pages = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("page")).agg(F.array_sort(F.collect_list(item)).alias("items"))
     empty = F.size(F.filter("items", lambda x: x["event_type"] == "error")).cast("long")
-    mean = F.aggregate("items", F.lit(0.0), lambda s, x: s + F.round(x["value"], 2)) / F.size("items")
-    return pages.select("page", F.size("items").cast("long").alias("detections"), empty.alias("empty_groups"), (mean > 50).alias("sure"))
+    values = F.filter(F.transform("items", lambda x: F.round(x["value"] * 100) / 100), lambda x: x.isNotNull())
+    mean = F.aggregate(values, F.lit(0.0), lambda s, x: s + x, lambda s: s / F.nullif(F.size(values), F.lit(0)))
+    return pages.select("page", F.size("items").cast("long").alias("detections"), empty.alias("empty_groups"), (F.coalesce(mean, F.lit(0.0)) > 50).alias("sure"))
