@@ -10,6 +10,7 @@ at the ends of a run of rows are boundary records that meet in a small shuffle.
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 import zlib
@@ -36,16 +37,20 @@ def encoder(tokenizer_json: str, ranks_file: str | None = None):
     string or a very long run of white space always take the tokenizer itself.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
 
-    whole = Tokenizer.from_file(tokenizer_json)
+    @functools.cache  # most tasks have no text that takes it
+    def whole():
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(tokenizer_json)
 
     def by_tokenizer(text: str) -> np.ndarray:
-        return np.array(whole.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+        return np.array(whole().encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
     if ranks_file is None:
         return by_tokenizer
     import base64
+    import json
 
     import public_tokenizers
     import tiktoken
@@ -53,7 +58,8 @@ def encoder(tokenizer_json: str, ranks_file: str | None = None):
     with open(ranks_file, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     ordinary = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-    added = re.compile("|".join(re.escape(t.content) for t in whole.get_added_tokens_decoder().values()) or r"(?!)")
+    with open(tokenizer_json, encoding="utf-8") as f:
+        added = re.compile("|".join(re.escape(t["content"]) for t in json.load(f).get("added_tokens") or []) or r"(?!)")
 
     def encode(text: str) -> np.ndarray:
         if added.search(text) or _LONG_SPACE.search(text):
@@ -122,18 +128,13 @@ _PIECE = pa.struct([("id", pa.int64()), ("start", pa.int64()), ("length", pa.int
 def sequences(tokens: DataFrame, window: int = 1024, pad_id: int = 0) -> DataFrame:
     """The packed windows: sequence_id, n_tokens (without padding), ids array<int>, pieces array<struct<id, start, length, offset>>.
 
-    Windows that a run of consecutive rows fills are complete at once; the
-    fragments at a run's ends are boundary records that are joined by
-    sequence_id. The last window is padded to ``window``, except where its
+    Windows that a run of consecutive rows fills are complete at once and are
+    read as they were written; the fragments at a run's ends are boundary
+    records that are joined by sequence_id. The last window is padded to ``window``, except where its
     length is a power of two.
     """
     offsets = part_offsets(tokens)
 
-    def padded(raw: bytes) -> np.ndarray:
-        ids = np.frombuffer(raw, "<u4")
-        n = len(ids)
-        return np.append(ids, np.full(window - n if n & (n - 1) else 0, pad_id, np.uint32)).view(np.int32)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, size, pieces, raw = None, 0, [], []  # the fragment that grows: its window, its ids so far
 
@@ -142,8 +143,10 @@ def sequences(tokens: DataFrame, window: int = 1024, pad_id: int = 0) -> DataFra
 
         def batch_of(found: list[tuple]) -> pa.RecordBatch:
             a, b, c, d = zip(*found, strict=True) if found else ((), (), (), ())
-            columns = [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.list_(_PIECE)), pa.array(d, pa.binary())]
-            return pa.RecordBatch.from_arrays(columns, ["sequence_id", "offset", "pieces", "ids"])
+            ends = pa.array(accumulate([len(x) // 4 for x in d], initial=0), pa.int32())
+            ids = pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(d), "<i4"), pa.int32()))
+            columns = [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array([len(x) // 4 for x in d], pa.int32()), ids, pa.array(c, pa.list_(_PIECE))]
+            return pa.RecordBatch.from_arrays(columns, ["sequence_id", "offset", "n_tokens", "ids", "pieces"])
 
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
@@ -165,19 +168,14 @@ def sequences(tokens: DataFrame, window: int = 1024, pad_id: int = 0) -> DataFra
         if pieces:
             yield batch_of([fragment()])
 
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = [sorted(x, key=lambda x: x["offset"]) for x in batch.column(1).to_pylist()]
-            raw = [b"".join(x["ids"] for x in of) for of in parts]
-            pieces = [[y for x in of for y in x["pieces"]] for of in parts]
-            columns = [batch.column(0), pa.array([len(x) // 4 for x in raw], pa.int32()), pa.array(map(padded, raw), pa.list_(pa.int32())), pa.array(pieces, pa.list_(_PIECE))]
-            yield pa.RecordBatch.from_arrays(columns, ["sequence_id", "n_tokens", "ids", "pieces"])
-
-    kind = "pieces array<struct<id:long,start:long,length:long,offset:long>>"
-    cuts = materialise(tokens.select("part", "id", "doc_tokens", "local_start", "ids").mapInArrow(run, f"sequence_id long, offset long, {kind}, ids binary"), "windows")
-    whole = cuts.where(F.length("ids") == 4 * window).select("sequence_id", F.array(F.struct("offset", "pieces", "ids")).alias("parts"))
-    ends = cuts.where(F.length("ids") < 4 * window).groupBy("sequence_id").agg(F.collect_list(F.struct("offset", "pieces", "ids")).alias("parts"))
-    return whole.unionByName(ends).mapInArrow(join, f"sequence_id long, n_tokens int, ids array<int>, {kind}")
+    kind = "n_tokens int, ids array<int>, pieces array<struct<id:long,start:long,length:long,offset:long>>"
+    cuts = materialise(tokens.select("part", "id", "doc_tokens", "local_start", "ids").mapInArrow(run, f"sequence_id long, offset long, {kind}"), "windows")
+    parts = F.array_sort(F.collect_list(F.struct("offset", "ids", "pieces")))
+    ends = cuts.where(F.col("n_tokens") < window).groupBy("sequence_id").agg(F.sum("n_tokens").cast("int").alias("n_tokens"), parts.alias("parts"))
+    ids, n = F.flatten(F.transform("parts", lambda x: x["ids"])), F.col("n_tokens")
+    padded = F.when(n.bitwiseAND(n - 1) == 0, ids).otherwise(F.concat(ids, F.array_repeat(F.lit(pad_id), F.lit(window) - n)))
+    joined = ends.select("sequence_id", "n_tokens", padded.alias("ids"), F.flatten(F.transform("parts", lambda x: x["pieces"])).alias("pieces"))
+    return cuts.where(F.col("n_tokens") == window).select("sequence_id", "n_tokens", "ids", "pieces").unionByName(joined)
 
 
 @scoped

@@ -91,3 +91,11 @@ def test_edge_rows(spark, plain):
     windows = pack_sequences(docs, "doc_id", "text", *TOKENIZER).collect()
     assert sum(r.n_tokens for r in windows) == sum(r.length for r in got) == sum(p.length for r in windows for p in r.pieces)
     assert pack_sequences(docs.limit(0), "doc_id", "text", *TOKENIZER).collect() == []
+
+
+def test_whole_windows_are_read_as_written(spark):
+    texts = {i: "word " * (37 * i % 400) for i in range(40)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    got = pack_sequences(docs, "doc_id", "text", *TOKENIZER, window=128)
+    assert "MapInArrow" not in got._jdf.queryExecution().executedPlan().toString()
+    assert got.dtypes == [("sequence_id", "bigint"), ("n_tokens", "int"), ("ids", "array<int>"), ("pieces", "array<struct<id:bigint,start:bigint,length:bigint,offset:bigint>>")]

@@ -84,3 +84,19 @@ def test_results_below_a_scratch_folder_keep_it(spark):
     assert read_back().count() == 3
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(f"{second[0]}/deep/table")
+
+
+def test_batches_of_a_written_table_are_bounded_in_bytes(spark):
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [batch.num_rows], "bytes": [batch.nbytes]})
+
+    key, texts = "spark.sql.execution.arrow.maxBytesPerBatch", spark.range(6000, numPartitions=1).select(F.expr("repeat('x', 3000)").alias("text"))
+    before = spark.conf.get(key)
+    found = work.materialise(texts.mapInArrow(sizes, "rows long, bytes long")).collect()
+    assert sum(r.rows for r in found) == 6000 and max(r.bytes for r in found) <= work.BATCH_BYTES + 100_000
+    assert spark.conf.get(key) == before
+    work.release()
