@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkmill.llm.work import broadcast_if_small, discard, materialise, rows_in, same_or_null, scoped
+from inkmill.llm.work import broadcast_if_small, discard, give_back, lean, materialise, rows_in, same_or_null, scoped
 
 PAD = 2  # U+0002 stands before a text's first character
 _NUL = 0xFFFD  # takes the place of U+0000 in n-grams
@@ -64,7 +64,7 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, lang_col: str, block_cha
         for lang in sorted(held):
             yield block(lang)
 
-    return materialise(same_or_null(docs, id_col, text_col, lang_col).mapInArrow(run, _BLOCK), "blocks", buckets, "block")
+    return materialise(same_or_null(docs, id_col, text_col, lang_col).mapInArrow(lean(run), _BLOCK), "blocks", buckets, "block")
 
 
 def grams(codes: np.ndarray, order: int) -> tuple[list[np.ndarray], np.ndarray]:
@@ -77,27 +77,36 @@ def grams(codes: np.ndarray, order: int) -> tuple[list[np.ndarray], np.ndarray]:
     seen = np.zeros(int(codes.max()) + 1, bool)
     seen[codes] = True
     symbols = np.nonzero(seen)[0]
-    lookup = np.cumsum(seen, dtype=np.int32) - 1
-    symbol = lookup[codes]
-    ids, rows = symbol, symbols[:, None]
+    lookup = (np.cumsum(seen, dtype=np.int32) - 1).astype(np.min_scalar_type(len(symbols)))
+    symbol = np.empty(len(codes), lookup.dtype)
+    for at in _slices(len(codes)):
+        symbol[at] = lookup[codes[at]]
+    numbers = np.full(len(codes) + order - 1, -1, np.int32)  # of the window that starts at each position, from order - 1 on
+    numbers[order - 1 :] = symbol
+    rows = symbols[:, None]
     levels = [rows]
     for k in range(1, order):
         span = len(rows) * len(symbols)
-        if span >= 1 << 31:
-            ids = ids.astype(np.int64)
-        key = ids[:-1] * len(symbols) + symbol[k:]
+        ids = numbers[order - 1 : len(codes) + order - 1 - k]
         if span <= 1 << 25:
             seen = np.zeros(span, bool)
-            seen[key] = True
+            for at in _slices(len(ids)):
+                ids[at] = ids[at] * len(symbols) + symbol[k:][at]
+                seen[ids[at]] = True
             distinct = np.nonzero(seen)[0]
             lookup = np.cumsum(seen, dtype=np.int32) - 1
-            ids = lookup[key]
+            for at in _slices(len(ids)):
+                ids[at] = lookup[ids[at]]
         else:
-            distinct, ids = np.unique(key, return_inverse=True)
-            ids = ids.astype(np.int32)
+            distinct, ids[:] = np.unique(ids.astype(np.int64 if span >= 1 << 31 else np.int32) * len(symbols) + symbol[k:], return_inverse=True)
         rows = np.column_stack([rows[distinct // len(symbols)], symbols[distinct % len(symbols)]])
         levels.append(rows)
-    return levels, np.concatenate([np.full(order - 1, -1, np.int32), ids])[: len(codes)]
+    return levels, numbers[: len(codes)]
+
+
+def _slices(n: int) -> list[slice]:
+    """Pieces of a long array, so that what indexing makes of a piece (positions of eight bytes) stays small."""
+    return [slice(at, at + (1 << 17)) for at in range(0, n, 1 << 17)]
 
 
 def _strings(rows: np.ndarray) -> list[str]:
@@ -108,13 +117,14 @@ def _characters(sizes: list[int], blob: bytes, order: int) -> tuple[np.ndarray,
     """A block's characters with pads before each text, and where each text starts and stops."""
     import zstandard
 
-    text = np.frombuffer(zstandard.decompress(blob).decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), "<u4")
-    text = np.where(text == 0, np.uint32(_NUL), text)
+    text = zstandard.decompress(blob).decode("utf-8", "surrogatepass")
     ends = np.cumsum(sizes)
-    pad = np.full(order - 1, PAD, np.uint32)
-    parts = [x for end, size in zip(ends.tolist(), sizes, strict=True) for x in (pad, text[end - size : end])]
     stops = ends + (order - 1) * np.arange(1, len(sizes) + 1)
-    return np.concatenate(parts), (stops - sizes).tolist(), stops.tolist()
+    codes = np.full(len(text) + (order - 1) * len(sizes), PAD, np.uint32)
+    for end, size, stop in zip(ends.tolist(), sizes, stops.tolist(), strict=True):
+        part = np.frombuffer(text[end - size : end].encode("utf-32-le", "surrogatepass"), "<u4")
+        codes[stop - size : stop] = np.where(part == 0, np.uint32(_NUL), part)
+    return codes, (stops - sizes).tolist(), stops.tolist()
 
 
 def block_grams(table: DataFrame, trusted: DataFrame, order: int) -> DataFrame:
@@ -141,6 +151,8 @@ def block_grams(table: DataFrame, trusted: DataFrame, order: int) -> DataFrame:
             n = [0] * len(names) + counts[real].tolist()
             names += _strings(levels[-1][real]) if levels else []
             out.append(pa.table({"block": pa.array([block] * len(names), pa.int64()), "lang": pa.array([lang] * len(names)), "gram": pa.array(names), "n": pa.array(n, pa.int64())}))
+            del codes, number, counts, real, names, n
+        give_back()
         return pa.concat_tables(out)
 
     return table.groupBy("block").cogroup(flags.groupBy("at")).applyInArrow(kernel, "block long, lang string, gram string, n long")
@@ -215,6 +227,9 @@ def perplexities(table: DataFrame, requests: DataFrame, values: DataFrame, order
             logs = np.array([log_probability(g, p, back, memo) for g in _strings(levels[-1])]) if len(levels[-1]) else np.empty(0)
             for i, size, a, b in zip(ids, sizes, starts, stops, strict=True):
                 out.append((i, lang, size, float(np.exp(-logs[number[a:b]].mean())) if b > a else None))
+            del codes, number, memo, logs
+        p, back = {}, {}
+        give_back()
         a, b, c, d = zip(*out, strict=True) if out else ((), (), (), ())
         return pa.table({"id": pa.array(a, pa.int64()), "lang": pa.array(b, pa.string()), "n_chars": pa.array(c, pa.int64()), "perplexity": pa.array(d, pa.float64())})
 

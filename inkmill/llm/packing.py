@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkmill.llm.work import materialise, same_or_null, scoped
+from inkmill.llm.work import lean, materialise, same_or_null, scoped
 
 #: Longest run of white space that goes through the rank encoder, whose matcher recurses on such runs.
 _LONG_SPACE = re.compile(r"\s{4096}")
@@ -83,7 +83,7 @@ def tokenised(docs: DataFrame, id_col: str, text_col: str, tokenizer_json: str,
                 before = starts.pop()
                 yield pa.RecordBatch.from_arrays([pa.array([part] * len(ids), pa.int32()), rows.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(starts, pa.int64()), pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())], ["part", "id", "doc_tokens", "local_start", "ids"])
 
-    table = same_or_null(docs, id_col, text_col).mapInArrow(run, "part int, id long, doc_tokens long, local_start long, ids binary")
+    table = same_or_null(docs, id_col, text_col).mapInArrow(lean(run), "part int, id long, doc_tokens long, local_start long, ids binary")
     return materialise(table, "tokens")
 
 
@@ -119,7 +119,7 @@ def pieces(tokens: DataFrame, window: int = 1024, with_ids: bool = False) -> Dat
                 n = 8 if with_ids else 7
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out[:n], kinds, strict=False)], names[:n])
 
-    return tokens.select("part", "id", "doc_tokens", "local_start", "ids").mapInArrow(run, schema)
+    return tokens.select("part", "id", "doc_tokens", "local_start", "ids").mapInArrow(lean(run), schema)
 
 
 _PIECE = pa.struct([("id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("offset", pa.int64())])
@@ -169,7 +169,7 @@ def sequences(tokens: DataFrame, window: int = 1024, pad_id: int = 0) -> DataFra
             yield batch_of([fragment()])
 
     kind = "n_tokens int, ids array<int>, pieces array<struct<id:long,start:long,length:long,offset:long>>"
-    cuts = materialise(tokens.select("part", "id", "doc_tokens", "local_start", "ids").mapInArrow(run, f"sequence_id long, offset long, {kind}"), "windows")
+    cuts = materialise(tokens.select("part", "id", "doc_tokens", "local_start", "ids").mapInArrow(lean(run), f"sequence_id long, offset long, {kind}"), "windows")
     parts = F.array_sort(F.collect_list(F.struct("offset", "ids", "pieces")))
     ends = cuts.where(F.col("n_tokens") < window).groupBy("sequence_id").agg(F.sum("n_tokens").cast("int").alias("n_tokens"), parts.alias("parts"))
     ids, n = F.flatten(F.transform("parts", lambda x: x["ids"])), F.col("n_tokens")

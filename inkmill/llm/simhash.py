@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkmill.llm.work import map_batches, materialise, rows_in, same_or_null, scoped
+from inkmill.llm.work import lean, map_batches, materialise, rows_in, same_or_null, scoped
 from inkmill.operators.graph import connected_components
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -269,7 +269,7 @@ def _edges_of_blocks(sent: DataFrame, key: str, near_of) -> DataFrame:
             yield _edge_batch(found)
         yield _edge_batch(edges() if len(group) > 1 else [])
 
-    return sent.repartition(key, "i", "j").sortWithinPartitions(key, "i", "j", "node").mapInArrow(compare, "a long, b long")
+    return sent.repartition(key, "i", "j").sortWithinPartitions(key, "i", "j", "node").mapInArrow(lean(compare), "a long, b long")
 
 
 @scoped

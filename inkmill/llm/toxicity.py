@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkmill.llm.work import materialise, same_or_null, scoped
+from inkmill.llm.work import give_back, lean, materialise, same_or_null, scoped
 
 _WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -151,7 +151,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     keys = F.array(*[F.lit(r.id) for r in numbers])
     rows = rows.withColumn("shard", F.element_at(keys, (F.col("shard") % len(numbers) + 1).cast("int")))
     ready = rows.repartition(shards, "shard").sortWithinPartitions("shard", "h", "id", "text").select("label", "text", "shard")
-    models = ready.mapInArrow(shard_model, "shard long, bias double, idx array<long>, w array<double>").collect()
+    models = ready.mapInArrow(lean(shard_model), "shard long, bias double, idx array<long>, w array<double>").collect()
     total = np.zeros(1 << s.bits)
     for m in models:
         total[np.array(m.idx, np.int64)] += np.array(m.w)
@@ -173,7 +173,7 @@ def score(docs: DataFrame, model: tuple[float, np.ndarray, np.ndarray], id_col:
                 raw = np.array([bias + float(weights[features(t, settings)].sum(dtype=np.float64)) for t in rows.column(1).to_pylist()])
                 yield pa.RecordBatch.from_arrays([rows.column(0).cast(pa.int64()), pa.array(1 / (1 + np.exp(-np.clip(raw, -35, 35))))], ["id", "score"])
 
-    return same_or_null(docs, id_col, text_col).mapInArrow(run, "id long, score double")
+    return same_or_null(docs, id_col, text_col).mapInArrow(lean(run), "id long, score double")
 
 
 def score_column(model: tuple[float, np.ndarray, np.ndarray], settings: Settings = Settings()):
@@ -188,5 +188,7 @@ def score_column(model: tuple[float, np.ndarray, np.ndarray], settings: Settings
         for part in parts:
             raw = np.array([bias + float(weights[features(t, settings)].sum(dtype=np.float64)) for t in part])
             yield pd.Series(1 / (1 + np.exp(-np.clip(raw, -35, 35))), dtype="float64")
+        del weights
+        give_back()
 
     return scores

@@ -1,6 +1,7 @@
 import math
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -8,6 +9,8 @@ import pytest
 from inkmill.llm.kneser_ney import PAD, blocks, classify, grams, score_perplexity
 from inkmill.llm.queries import QUERIES
 
+ROOT = Path(__file__).parents[2]
+
 
 def slow_model(texts, order):
     """Interpolated modified Kneser-Ney with dictionaries, one n-gram at a time."""
@@ -123,3 +126,60 @@ def test_edge_rows(spark):
     assert all(r.keep for r in got)
     assert classify(docs, trusted.limit(0)).count() == 7
     assert classify(docs.limit(0), trusted).collect() == []
+
+
+def test_kernels_hold_few_bytes_a_character():
+    """Of a block: its code points, the numbers of its windows, a byte a symbol; not the positions of eight bytes that indexing makes."""
+    import tracemalloc
+
+    import zstandard
+
+    from inkmill.llm.kneser_ney import _characters
+
+    n, rng = 2_000_000, np.random.default_rng(5)
+    sizes = [1000] * (n // 1000)
+    text = rng.choice(np.frombuffer(b"abcdefghij \x00", np.uint8), n).tobytes().decode()
+    blob = zstandard.compress(text.encode())
+    tracemalloc.start()
+    try:
+        codes, starts, stops = _characters(sizes, blob, 4)
+        first = tracemalloc.get_traced_memory()[1]
+        tracemalloc.reset_peak()
+        _, number = grams(codes, 4)
+        second = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert first <= 7 * n and second <= 14 * n
+    assert "".join(map(chr, codes[starts[7] : stops[7]])) == text[7000:8000].replace("\x00", "�")
+    assert number.dtype == np.int32 and (number[:3] == -1).all() and len(np.unique(number[3:])) == number.max() + 1
+
+
+def test_wide_tables_number_windows_alike():
+    """So many symbols that windows are numbered by sorting."""
+    rng = np.random.default_rng(8)
+    codes = rng.choice(np.arange(2, 7000, dtype=np.uint32), 40_000)
+    levels, number = grams(codes, 3)
+    assert all((levels[2][number[i]] == codes[i - 2 : i + 1]).all() for i in range(2, 40_000, 7))
+    assert [len(x) for x in levels] == [len({tuple(codes[i : i + k].tolist()) for i in range(40_001 - k)}) for k in (1, 2, 3)]
+
+
+def test_workers_give_freed_memory_back():
+    """In a process of its own: small objects below one that stays, which malloc would keep."""
+    import subprocess
+    import sys
+
+    code = """
+import psutil
+from inkmill.llm.work import lean
+def run(batches):
+    held = [bytes(1000 + k % 7) for k in range(200_000)]
+    pins.append(bytes(1000))
+    yield from batches
+    del held
+    sizes.append(psutil.Process().memory_info().rss)
+pins, sizes = [], []
+assert list(lean(run)([1, 2])) == [1, 2]
+print(sizes[0] - psutil.Process().memory_info().rss)
+"""
+    freed = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, timeout=120, cwd=ROOT).stdout
+    assert int(freed) > 100_000_000

@@ -100,3 +100,16 @@ def test_batches_of_a_written_table_are_bounded_in_bytes(spark):
     assert sum(r.rows for r in found) == 6000 and max(r.bytes for r in found) <= work.BATCH_BYTES + 100_000
     assert spark.conf.get(key) == before
     work.release()
+
+
+@pytest.mark.parametrize("buckets", [None, 2])
+def test_row_groups_of_a_written_table_are_bounded(spark, buckets):
+    import pyarrow.parquet as pq
+
+    rows = spark.range(12000, numPartitions=1).select("id", F.concat(*[F.sha2(F.concat_ws("-", "id", F.lit(k)), 512) for k in range(8)]).alias("text"))
+    table = work.materialise(rows, buckets=buckets, by="id")
+    groups = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in table.inputFiles()]
+    stored = [sum(m.row_group(k).column(c).total_compressed_size for c in range(m.num_columns)) for m in groups for k in range(m.num_row_groups)]
+    assert sum(m.num_rows for m in groups) == 12000 and sum(stored) > 3 * work.ROW_GROUP_BYTES
+    assert max(stored) <= 1.5 * work.ROW_GROUP_BYTES
+    work.release()
